@@ -14,13 +14,13 @@ from wattledger.settings import Settings
 from wattledger.sources.tables import scan_table
 
 ALERT_CHANGE = StructType(
-    [*schemas.ALERT.fields, *StructType.fromDDL("transition string, pass_id bigint").fields]
+    [*schemas.ALERT.fields, *schemas.columns("transition string, pass_id bigint").fields]
 )
-TARIFF_ROW = StructType.fromDDL(
+TARIFF_ROW = schemas.columns(
     "household_id string, raw_rate string, tariff_rate double, billing_tier string, "
     "subsidy_flag boolean, published_at string, is_valid boolean, sim_day int, run_id string"
 )
-UNBILLED = StructType.fromDDL("household_id string, sim_day int, run_id string")
+UNBILLED = schemas.columns("household_id string, sim_day int, run_id string")
 
 
 @dataclass(frozen=True)

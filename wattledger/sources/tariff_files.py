@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,11 +44,18 @@ def scan_ready_days(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(ready, "sim_day int, path string")
 
 
+def _bare(path: str) -> str:
+    return re.sub(r"^\w+:", "", path).strip("/")
+
+
 def scan_tariff_files(spark: SparkSession, ready: list[tuple[int, str]]) -> DataFrame:
-    """Rows of many day files in one scan, each stamped with the day its marker announced."""
+    """Rows of many days in one scan, each stamped with the day its marker announced.
+
+    A path may be a file or a folder of part files. A row of any other file keeps its own day.
+    """
     rows = scan_tariff_csv(spark, *(path for _, path in ready))
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    day = F.coalesce(
-        *(F.when(name == path.rsplit("/", 1)[-1], F.lit(str(day))) for day, path in ready)
-    )
+    days = F.create_map(*(F.lit(v) for day, path in ready for v in (_bare(path), str(day))))
+    source = F.trim(F.regexp_replace(F.col("_metadata.file_path"), r"^\w+:", ""), F.lit("/"))
+    parent = F.regexp_replace(source, r"/[^/]*$", "")
+    day = F.coalesce(F.try_element_at(days, source), F.try_element_at(days, parent), "sim_day")
     return rows.withColumn("sim_day", day)
