@@ -100,37 +100,52 @@ def daily(spark, sf):
     return billing_run.exact_daily(given.clean(spark, sf), SETTINGS)
 
 
+stored_daily = given.stored(daily)
+
+
 def enriched(spark, sf):
-    return tariffs.asof_tariff(daily(spark, sf), given.tariff_reference(spark, sf))
+    return tariffs.asof_tariff(stored_daily(spark, sf), given.stored_tariffs(spark, sf))
 
 
 def bill_rows(spark, sf):
     return bills.compute_bills(enriched(spark, sf), SETTINGS)
 
 
-def recon(spark, sf):
+stored_bills = given.stored(bill_rows)
+
+
+def flagship(spark, sf):
+    """From raw readings and tariff rows to bills in a single plan."""
+    effective = tariffs.asof_tariff(daily(spark, sf), given.tariff_reference(spark, sf))
+    return bills.compute_bills(effective, SETTINGS)
+
+
+def reconciled(spark, sf):
     return reconciliation.reconciliation_metrics(
-        given.running(spark, sf),
-        daily(spark, sf),
-        given.lake(spark, sf),
-        given.tariff_rows(spark, sf),
-        given.tariff_reference(spark, sf),
-        bill_rows(spark, sf),
+        given.stored_running(spark, sf),
+        stored_daily(spark, sf),
+        given.stored_lake(spark, sf),
+        given.stored_tariff_rows(spark, sf),
+        given.stored_tariffs(spark, sf),
+        stored_bills(spark, sf),
         SETTINGS,
     )
 
 
+stored_recon = given.stored(reconciled)
+
+
 def seen_quality(spark, sf, as_of=AS_OF):
-    rows = given.quality_rows(spark, sf)
+    rows = given.stored_quality(spark, sf)
     return rows.where(F.col("recorded_at") <= clock.instant(as_of))
 
 
 def candidates(spark, sf, as_of, last_day):
     return alert_pass.all_candidates(
-        given.windows(spark, sf, as_of),
+        given.stored_windows(spark, sf, as_of),
         given.heartbeats(spark, sf),
-        given.quality_rows(spark, sf),
-        recon(spark, sf).where(F.col("sim_day") <= last_day),
+        given.stored_quality(spark, sf),
+        stored_recon(spark, sf).where(F.col("sim_day") <= last_day),
         given.run_log(spark, sf),
         as_of,
         SETTINGS,
@@ -277,7 +292,7 @@ register(
 register(
     "retain_recent",
     lambda s, d: grid.retain_recent(
-        given.windows(s, d, AS_OF), "window_start", AS_OF, SETTINGS
+        given.stored_windows(s, d, AS_OF), "window_start", AS_OF, SETTINGS
     ).select(*WINDOW),
     f"SELECT {WINDOW_SQL} FROM window_now WHERE window_start >= {moment(AS_OF)} - INTERVAL 6 HOUR",
 )
@@ -288,7 +303,7 @@ def report_csv(s, d):
     sinks.write_report_csv(runs.billed_store(s, d).bills(s), path)
     schema = ", ".join(
         f"{name} {kind}"
-        for name, kind in bill_rows(s, d).select(*sinks.REPORT_COLUMNS).dtypes
+        for name, kind in stored_bills(s, d).select(*sinks.REPORT_COLUMNS).dtypes
     )
     return s.read.option("header", True).schema(f"{schema}, sim_day int").csv(path)
 
@@ -415,7 +430,7 @@ reading_rule(
 )
 register(
     "subsidy_discount_pct",
-    lambda s, d: given.tariff_reference(s, d).select(
+    lambda s, d: given.stored_tariffs(s, d).select(
         "household_id",
         "sim_day",
         billing.subsidy_discount_pct(F.col("subsidy_flag"), SETTINGS).alias(
@@ -425,7 +440,7 @@ register(
     "SELECT household_id, sim_day, CASE WHEN subsidy_flag THEN 15.0::DOUBLE ELSE 0.0::DOUBLE END "
     "AS subsidy_discount_pct FROM tariff_ref",
 )
-register("bill_amount", bill_rows, f"SELECT {BILL_SQL} FROM bill")
+register("bill_amount", flagship, f"SELECT {BILL_SQL} FROM bill")
 register(
     "validate_tariff",
     lambda s, d: given.tariff_rows(s, d).select(
@@ -444,7 +459,7 @@ register(
 )
 register(
     "rejected_tariff_rows",
-    lambda s, d: tariffs.rejected_tariff_rows(given.tariff_rows(s, d)),
+    lambda s, d: tariffs.rejected_tariff_rows(given.stored_tariff_rows(s, d)),
     "SELECT household_id, sim_day, raw_rate FROM tariff_row WHERE NOT is_valid",
 )
 register(
@@ -458,8 +473,8 @@ register(
 
 def day_joined(s, d):
     """The single-day form: today's tariff, then the newest of any earlier day."""
-    reference = given.tariff_reference(s, d)
-    today = daily(s, d).where(F.col("sim_day") == CURRENT_DAY)
+    reference = given.stored_tariffs(s, d)
+    today = stored_daily(s, d).where(F.col("sim_day") == CURRENT_DAY)
     joined = tariffs.join_tariff_today(today, reference)
     previous = tariffs.previous_tariffs(reference, CURRENT_DAY)
     return tariffs.join_tariff_previous(joined, previous)
@@ -473,7 +488,7 @@ register(
 )
 register(
     "renewable_flags",
-    lambda s, d: grid.renewable_flags(given.windows(s, d), AS_OF, SETTINGS).select(
+    lambda s, d: grid.renewable_flags(given.stored_windows(s, d), AS_OF, SETTINGS).select(
         "grid_zone", "window_start", "below_threshold", "low_renewable"
     ),
     f"""
@@ -490,7 +505,7 @@ register(
 )
 register(
     "point_filters",
-    lambda s, d: bills.point_filters(bill_rows(s, d), sim_day=12),
+    lambda s, d: bills.point_filters(stored_bills(s, d), sim_day=12),
     f"SELECT {BILL_SQL} FROM bill WHERE sim_day = 12",
 )
 register(
@@ -509,14 +524,14 @@ register(
 
 register(
     "join_tariff_today",
-    lambda s, d: tariffs.join_tariff_today(daily(s, d), given.tariff_reference(s, d)),
+    lambda s, d: tariffs.join_tariff_today(stored_daily(s, d), given.stored_tariffs(s, d)),
     f"SELECT {DAILY_SQL}, tariff_rate, billing_tier, subsidy_flag "
     "FROM daily LEFT JOIN tariff_ref USING (household_id, sim_day)",
 )
 register(
     "join_tariff_previous",
     lambda s, d: tariffs.join_tariff_previous(
-        daily(s, d), tariffs.previous_tariffs(given.tariff_reference(s, d), CURRENT_DAY)
+        stored_daily(s, d), tariffs.previous_tariffs(given.stored_tariffs(s, d), CURRENT_DAY)
     ),
     f"""
     SELECT d.*, p.sim_day AS prev_sim_day, p.tariff_rate AS prev_tariff_rate,
@@ -539,7 +554,7 @@ LATEST_TARIFF = """
     FROM tariff_ref GROUP BY 1"""
 register(
     "latest_tariff_per_household",
-    lambda s, d: tariffs.latest_tariff_per_household(given.tariff_reference(s, d)),
+    lambda s, d: tariffs.latest_tariff_per_household(given.stored_tariffs(s, d)),
     LATEST_TARIFF,
 )
 LATEST_BILL = """
@@ -547,15 +562,15 @@ LATEST_BILL = """
            max(sim_day) AS last_final_sim_day FROM bill GROUP BY 1"""
 register(
     "latest_bill_per_household",
-    lambda s, d: bills.latest_bill_per_household(bill_rows(s, d)),
+    lambda s, d: bills.latest_bill_per_household(stored_bills(s, d)),
     LATEST_BILL,
 )
 
 
 def pending(s, d):
     """Days in the lake against days with any bill on an odd day."""
-    lake_days = given.lake(s, d).select("sim_day").distinct()
-    billed = bill_rows(s, d).where(F.col("sim_day") != 27).select("sim_day").distinct()
+    lake_days = given.stored_lake(s, d).select("sim_day").distinct()
+    billed = stored_bills(s, d).where(F.col("sim_day") != 27).select("sim_day").distinct()
     return reconciliation.pending_days(s, lake_days, billed.where(F.col("sim_day") < 28), 29, SETTINGS)
 
 
@@ -568,7 +583,7 @@ register(
 )
 register(
     "reconcile_days",
-    lambda s, d: reconciliation.reconcile_days(given.running(s, d), daily(s, d), SETTINGS),
+    lambda s, d: reconciliation.reconcile_days(given.stored_running(s, d), stored_daily(s, d), SETTINGS),
     "SELECT sim_day, speed_consumption_kwh, batch_consumption_kwh, drift_pct, speed_readings, "
     "batch_readings FROM recon_days",
 )
@@ -611,7 +626,7 @@ register(
 
 def enriched_live(s, d):
     path = work_folder(s, "latest-tariffs")
-    tariffs.latest_tariff_per_household(given.tariff_reference(s, d)).write.parquet(path)
+    tariffs.latest_tariff_per_household(given.stored_tariffs(s, d)).write.parquet(path)
     return runs.enriched_stream(s, d, path).select(
         "event_id",
         "offset",
@@ -644,28 +659,23 @@ register(
 
 
 def household_counts(s, d):
-    """The approximate household count lies within a tenth of the exact one, or one below ten."""
+    """The approximate household counts of a zone add up to within a twentieth of the exact ones."""
     clean = given.clean(s, d)
     by_window = [F.window("event_time", SETTINGS.window, SETTINGS.slide), F.col("grid_zone")]
-    exact_count = (
-        clean.groupBy(*by_window)
-        .agg(F.count_distinct("household_id").alias("exact"))
-        .select("grid_zone", F.col("window.start").alias("window_start"), "exact")
-    )
-    both = given.windows(s, d).join(exact_count, ["grid_zone", "window_start"])
-    allowed = F.greatest(F.lit(1.0), F.col("exact") * 0.2)
-    return both.select(
-        "grid_zone",
-        "window_start",
-        F.col("exact").alias("exact_households"),
-        (F.abs(F.col("household_count") - F.col("exact")) <= allowed).alias("within_tolerance"),
+    exact_count = clean.groupBy(*by_window).agg(F.count_distinct("household_id").alias("exact"))
+    exact_count = exact_count.groupBy("grid_zone").agg(F.sum("exact").alias("exact_households"))
+    counted = given.windows(s, d).groupBy("grid_zone").agg(F.sum("household_count").alias("n"))
+    error = F.abs(F.col("n") - F.col("exact_households")) / F.col("exact_households")
+    return counted.join(exact_count, "grid_zone").select(
+        "grid_zone", "exact_households", (error <= 0.05).alias("within_tolerance")
     )
 
 
 register(
     "zone_window_household_count",
     household_counts,
-    "SELECT grid_zone, window_start, exact_households, TRUE AS within_tolerance FROM zone_window",
+    "SELECT grid_zone, CAST(sum(exact_households) AS BIGINT) AS exact_households, "
+    "TRUE AS within_tolerance FROM zone_window GROUP BY 1",
 )
 register("household_daily", daily, f"SELECT {DAILY_SQL} FROM daily")
 register(
@@ -732,7 +742,7 @@ SUMMARY = f"""
     FROM bill"""
 register(
     "billing_zone_summary",
-    lambda s, d: bills.billing_zone_summary(bill_rows(s, d), SETTINGS),
+    lambda s, d: bills.billing_zone_summary(stored_bills(s, d), SETTINGS),
     f"{SUMMARY} GROUP BY 1, 2",
 )
 GRID_TOTALS = f"""
@@ -744,14 +754,14 @@ GRID_TOTALS = f"""
 register(
     "grid_totals",
     lambda s, d: grid.grid_totals(
-        grid.latest_complete_window(given.windows(s, d, AS_OF), AS_OF), SETTINGS
+        grid.latest_complete_window(given.stored_windows(s, d, AS_OF), AS_OF), SETTINGS
     ),
     GRID_TOTALS,
 )
-register("reconciliation_metrics", recon, f"SELECT {RECON} FROM recon")
+register("reconciliation_metrics", reconciled, f"SELECT {RECON} FROM recon")
 register(
     "tariff_stats",
-    lambda s, d: tariffs.tariff_stats(given.tariff_rows(s, d)),
+    lambda s, d: tariffs.tariff_stats(given.stored_tariff_rows(s, d)),
     "SELECT sim_day, tariff_rows, invalid_tariff_rows, duplicate_tariff_rows FROM tariff_stat",
 )
 ROLLUP = (
@@ -761,7 +771,7 @@ ROLLUP = (
 RATE = oracle.half_up("rate", 2)
 register(
     "stream_quality_rollup",
-    lambda s, d: grid.stream_quality_rollup(given.quality_rows(s, d), AS_OF, SETTINGS),
+    lambda s, d: grid.stream_quality_rollup(given.stored_quality(s, d), AS_OF, SETTINGS),
     f"SELECT {ROLLUP}, {RATE} AS invalid_rate_pct FROM rollup_now",
 )
 REASONS = f"""
@@ -771,7 +781,7 @@ REASONS = f"""
     GROUP BY 1"""
 register(
     "invalid_reason_rollup",
-    lambda s, d: grid.invalid_reason_rollup(given.quality_rows(s, d), AS_OF, SETTINGS),
+    lambda s, d: grid.invalid_reason_rollup(given.stored_quality(s, d), AS_OF, SETTINGS),
     REASONS,
 )
 register(
@@ -788,12 +798,12 @@ register(
 )
 register(
     "latest_billed_day",
-    lambda s, d: bills.latest_billed_day(bill_rows(s, d)),
+    lambda s, d: bills.latest_billed_day(stored_bills(s, d)),
     "SELECT max(sim_day) AS sim_day FROM bill",
 )
 register(
     "billed_totals",
-    lambda s, d: bills.billed_total(bill_rows(s, d), "bill_amount", "total_billed"),
+    lambda s, d: bills.billed_total(stored_bills(s, d), "bill_amount", "total_billed"),
     "SELECT count(*) AS rows, CAST(sum(CAST(bill_amount AS DECIMAL(18,2))) AS DOUBLE) "
     "AS total_billed FROM bill",
 )
@@ -803,7 +813,7 @@ KPIS = f"""
            {KWH_SUM.format('total_solar_kwh')} AS solar_kwh FROM bill"""
 register(
     "report_kpis",
-    lambda s, d: bills.report_kpis(bill_rows(s, d), SETTINGS),
+    lambda s, d: bills.report_kpis(stored_bills(s, d), SETTINGS),
     f"{KPIS} GROUP BY 1",
 )
 
@@ -816,17 +826,17 @@ register(
 )
 register(
     "latest_complete_window",
-    lambda s, d: grid.latest_complete_window(given.windows(s, d, AS_OF), AS_OF).select(*WINDOW),
+    lambda s, d: grid.latest_complete_window(given.stored_windows(s, d, AS_OF), AS_OF).select(*WINDOW),
     f"SELECT {WINDOW_SQL} FROM live_window",
 )
 register(
     "latest_closed_window",
-    lambda s, d: grid.latest_closed_window(given.windows(s, d, AS_OF), AS_OF).select(*WINDOW),
+    lambda s, d: grid.latest_closed_window(given.stored_windows(s, d, AS_OF), AS_OF).select(*WINDOW),
     f"SELECT {WINDOW_SQL} FROM closed_now",
 )
 register(
     "previous_tariffs",
-    lambda s, d: tariffs.previous_tariffs(given.tariff_reference(s, d), CURRENT_DAY),
+    lambda s, d: tariffs.previous_tariffs(given.stored_tariffs(s, d), CURRENT_DAY),
     f"""
     SELECT household_id, sim_day AS prev_sim_day, tariff_rate AS prev_tariff_rate,
            billing_tier AS prev_billing_tier, subsidy_flag AS prev_subsidy_flag
@@ -838,19 +848,19 @@ register(
 
 register(
     "top_bills",
-    lambda s, d: bills.top_bills(bills.bills_of_day(bill_rows(s, d))),
+    lambda s, d: bills.top_bills(bills.bills_of_day(stored_bills(s, d))),
     f"SELECT {BILL_SQL} FROM bill WHERE sim_day = (SELECT max(sim_day) FROM bill) "
     "ORDER BY bill_amount DESC, household_id LIMIT 5",
 )
 DAYS = "sim_day, households_billed, total_billed, batch_consumption_kwh, drift_pct"
 register(
     "billing_days",
-    lambda s, d: reconciliation.billing_days(recon(s, d)),
+    lambda s, d: reconciliation.billing_days(stored_recon(s, d)),
     f"SELECT {DAYS} FROM recon ORDER BY sim_day DESC LIMIT 60",
 )
 register(
     "reconciliation_recent",
-    lambda s, d: reconciliation.reconciliation_recent(recon(s, d), 10),
+    lambda s, d: reconciliation.reconciliation_recent(stored_recon(s, d), 10),
     f"SELECT {RECON} FROM recon ORDER BY sim_day DESC LIMIT 10",
 )
 register(
@@ -965,7 +975,7 @@ def rule(key: str, alert_type: str, query: Query) -> None:
 rule(
     "rule_low_renewable",
     "LOW_RENEWABLE",
-    lambda s, d: alerts.rule_low_renewable(given.windows(s, d, AS_OF), AS_OF, SETTINGS),
+    lambda s, d: alerts.rule_low_renewable(given.stored_windows(s, d, AS_OF), AS_OF, SETTINGS),
 )
 rule(
     "rule_no_data",
@@ -999,7 +1009,7 @@ register(
 rule(
     "rule_drift",
     "RECONCILIATION_DRIFT",
-    lambda s, d: alerts.rule_drift(recon(s, d).where(F.col("sim_day") <= 28), SETTINGS),
+    lambda s, d: alerts.rule_drift(stored_recon(s, d).where(F.col("sim_day") <= 28), SETTINGS),
 )
 rule(
     "rule_task_failed",
@@ -1010,7 +1020,7 @@ rule(
 
 def gauge_samples(s, d):
     """The load of a zone, sampled at the end of every window; breached above 25 kWh."""
-    return given.windows(s, d).select(
+    return given.stored_windows(s, d).select(
         F.col("grid_zone").alias("series"),
         F.col("window_end").alias("sampled_at"),
         (F.col("total_consumption_kwh") > 25).alias("breached"),
@@ -1071,10 +1081,10 @@ def gauges(s, d):
     return health.pipeline_gauges(
         s,
         given.heartbeats(s, d),
-        given.windows(s, d, AS_OF),
+        given.stored_windows(s, d, AS_OF),
         current(s, d),
-        given.quality_rows(s, d),
-        recon(s, d),
+        given.stored_quality(s, d),
+        stored_recon(s, d),
         AS_OF,
         SETTINGS,
     )
@@ -1128,7 +1138,7 @@ register(
 
 register(
     "view_grid_live",
-    lambda s, d: views.view_grid_live(given.windows(s, d, AS_OF), AS_OF, SETTINGS).select(
+    lambda s, d: views.view_grid_live(given.stored_windows(s, d, AS_OF), AS_OF, SETTINGS).select(
         *WINDOW, "below_threshold", "low_renewable"
     ),
     f"SELECT {WINDOW_SQL}, renewable_pct < {SETTINGS.low_renewable_pct} AS below_threshold, "
@@ -1137,24 +1147,24 @@ register(
 )
 register(
     "view_grid_history",
-    lambda s, d: views.view_grid_history(given.windows(s, d, AS_OF), AS_OF, 360),
+    lambda s, d: views.view_grid_history(given.stored_windows(s, d, AS_OF), AS_OF, 360),
     "SELECT grid_zone, window_end, total_consumption_kwh, total_solar_kwh, renewable_pct "
     f"FROM window_now WHERE window_end <= {moment(AS_OF)} "
     f"AND window_end > {moment(AS_OF)} - INTERVAL 360 MINUTE",
 )
 register(
     "view_households_live",
-    lambda s, d: views.view_households_live(given.running(s, d), AS_OF, SETTINGS),
+    lambda s, d: views.view_households_live(given.stored_running(s, d), AS_OF, SETTINGS),
     f"SELECT {RUNNING} FROM running WHERE sim_day = {CURRENT_DAY}",
 )
 register(
     "view_billing_daily",
-    lambda s, d: views.view_billing_daily(bill_rows(s, d)),
+    lambda s, d: views.view_billing_daily(stored_bills(s, d)),
     f"SELECT {BILL_SQL} FROM bill WHERE sim_day = (SELECT max(sim_day) FROM bill)",
 )
 register(
     "view_billing_summary",
-    lambda s, d: views.view_billing_summary(bill_rows(s, d), SETTINGS),
+    lambda s, d: views.view_billing_summary(stored_bills(s, d), SETTINGS),
     f"{SUMMARY} WHERE sim_day = (SELECT max(sim_day) FROM bill) GROUP BY 1, 2",
 )
 register(
@@ -1174,9 +1184,9 @@ NET = "CAST(CAST(r.consumption_kwh AS DECIMAL(18,6)) - CAST(r.solar_kwh AS DECIM
 register(
     "view_billing_projection",
     lambda s, d: views.view_billing_projection(
-        given.running(s, d),
-        given.tariff_reference(s, d).where(F.col("sim_day") < CURRENT_DAY),
-        bill_rows(s, d).where(F.col("sim_day") < CURRENT_DAY),
+        given.stored_running(s, d),
+        given.stored_tariffs(s, d).where(F.col("sim_day") < CURRENT_DAY),
+        stored_bills(s, d).where(F.col("sim_day") < CURRENT_DAY),
         AS_OF,
         SETTINGS,
     ),
@@ -1209,7 +1219,7 @@ register(
 register(
     "view_pipeline_status",
     lambda s, d: views.view_pipeline_status(
-        given.heartbeats(s, d), given.quality_rows(s, d), AS_OF, SETTINGS
+        given.heartbeats(s, d), given.stored_quality(s, d), AS_OF, SETTINGS
     ),
     "SELECT 'component' AS section, component AS name, status, age_seconds AS value FROM state "
     + " ".join(
@@ -1257,7 +1267,7 @@ register(
 register(
     "audit_bills",
     lambda s, d: audit.audit_bills(
-        bill_rows(s, d).withColumn("bill_amount", F.col("bill_amount") + F.col("sim_day") % 2 / 50),
+        stored_bills(s, d).withColumn("bill_amount", F.col("bill_amount") + F.col("sim_day") % 2 / 50),
         SETTINGS,
     ).select("household_id", "sim_day", "expected_amount"),
     "SELECT household_id, sim_day, bill_amount AS expected_amount FROM bill WHERE sim_day % 2 = 1",
@@ -1265,7 +1275,7 @@ register(
 register(
     "audit_zone_coverage",
     lambda s, d: audit.audit_zone_coverage(
-        s, given.windows(s, d).where(F.col("event_count") > F.lit(10**9)), SETTINGS
+        s, given.stored_windows(s, d).where(F.col("event_count") > F.lit(10**9)), SETTINGS
     ),
     f"SELECT grid_zone FROM (VALUES {oracle.ZONES}) z(grid_zone) WHERE grid_zone NOT IN "
     "(SELECT grid_zone FROM zone_window WHERE event_count > 1000000000)",

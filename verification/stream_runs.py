@@ -6,19 +6,17 @@ the same store share it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verification import inputs
-from verification.inputs import SETTINGS
+from verification.inputs import SETTINGS, shared
 from wattledger.operators.readings import decode_readings
 from wattledger.plans.billing_run import backfill_days, run_day
 from wattledger.plans.store import Store
-from wattledger.session import prepare, work_folder
+from wattledger.session import work_folder
 from wattledger.sources.readings import source_readings_stream
 from wattledger.sources.tariff_files import scan_ready_days
 from wattledger.streaming import speed
@@ -31,20 +29,6 @@ def at_run() -> datetime:
     return RUN_AT
 
 
-def shared(run: Callable):
-    """One run per session and data folder."""
-    done: dict = {}
-
-    @wraps(run)
-    def once(spark: SparkSession, sf_dir: str, *args):
-        key = (spark.sparkContext.applicationId, sf_dir, *args)
-        if key not in done:
-            done[key] = run(prepare(spark), sf_dir, *args)
-        return done[key]
-
-    return once
-
-
 def messages(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """The reading stream as messages, optionally those of one slice."""
     rows = inputs.reading_events(spark, sf_dir)
@@ -232,13 +216,13 @@ def last_tariff_file(spark: SparkSession, sf_dir: str) -> str:
 
 @shared
 def billed_store(spark: SparkSession, sf_dir: str) -> Store:
-    """All days billed: twenty-nine in one backfill, the last one by its own run, repeated."""
+    """All days billed: twenty-nine in one backfill, the last one by two runs of its own."""
     store = lake_store(spark, sf_dir)
     ready = scan_ready_days(spark, tariff_folder(spark, sf_dir))
     days = sorted((row.sim_day, row.path) for row in ready.collect())
     backfill_days(spark, store, days, "backfill", SETTINGS, at_run)
     tariff_file = last_tariff_file(spark, sf_dir)
-    for run_id in ("run-a", "run-a", "run-b"):
+    for run_id in ("run-a", "run-b"):
         run_day(spark, store, LAST_DAY, tariff_file, run_id, SETTINGS, at_run)
     return store
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions import clock, quality
+from wattledger.functions.once import with_computed
 from wattledger.schemas import READING
 from wattledger.settings import Settings
 
@@ -19,17 +20,21 @@ DAY_COLUMNS = (
 
 
 def decode_readings(messages: DataFrame) -> DataFrame:
-    """Message bytes to typed columns; the raw text and its position stay as lineage."""
+    """Message bytes to typed columns; the raw text and its position stay as lineage.
+
+    The message is parsed once, whatever is filtered afterwards.
+    """
     lineage = [c for c in messages.columns if c != "value"]
-    text = messages.withColumn("json_str", F.col("value").cast("string")).drop("value")
-    parsed = text.withColumn("reading", F.from_json("json_str", READING))
-    return parsed.select("reading.*", "json_str", *lineage).withColumn(
-        "event_time", quality.parse_event_time(F.col("timestamp"))
+    text = F.col("value").cast("string")
+    parsed = messages.select(
+        F.inline(F.array(F.from_json(text, READING))), text.alias("json_str"), *lineage
     )
+    return parsed.withColumn("event_time", quality.parse_event_time(F.col("timestamp")))
 
 
 def grade_readings(readings: DataFrame, settings: Settings) -> DataFrame:
-    return readings.withColumn("invalid_reason", quality.invalid_reason(settings))
+    """Adds `invalid_reason`, NULL for a clean reading, judged once per row."""
+    return with_computed(readings, invalid_reason=quality.invalid_reason(settings))
 
 
 def split_clean(graded: DataFrame) -> DataFrame:

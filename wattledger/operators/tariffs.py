@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattledger.functions import billing
+from wattledger.functions.once import with_computed
 from wattledger.settings import Settings
 
 KEY = ("household_id", "sim_day")
@@ -19,18 +20,22 @@ def stamp_day(extract: DataFrame, day: int) -> DataFrame:
 
 def validate_tariff(extract: DataFrame, settings: Settings) -> DataFrame:
     """Typed tariff columns and `is_valid`; the raw rate stays for the audit of rejected rows."""
-    rate = billing.tariff_rate(F.col("tariff_rate"))
-    return extract.select(
+    typed = with_computed(
+        extract.withColumnRenamed("tariff_rate", "raw_rate"),
+        tariff_rate=billing.tariff_rate(F.col("raw_rate")),
+    )
+    valid = billing.is_valid_tariff(
+        F.col("household_id"), F.col("tariff_rate"), F.col("billing_tier"), settings
+    )
+    return typed.select(
         "household_id",
         F.col("sim_day").try_cast("int").alias("sim_day"),
-        F.col("tariff_rate").alias("raw_rate"),
-        rate.alias("tariff_rate"),
+        "raw_rate",
+        "tariff_rate",
         "billing_tier",
         billing.subsidy_flag(F.col("subsidy_flag")).alias("subsidy_flag"),
         "published_at",
-        billing.is_valid_tariff(
-            F.col("household_id"), rate, F.col("billing_tier"), settings
-        ).alias("is_valid"),
+        valid.alias("is_valid"),
     )
 
 
