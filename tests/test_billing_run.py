@@ -1,6 +1,7 @@
 """Billing runs against a store, tariff files, reports and the command line."""
 
 import random
+import shutil
 from datetime import timezone
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.helpers import EPOCH, SETTINGS, at, messages, reading, values
 from wattledger.operators import bills as bill_ops
 from wattledger.operators import readings
-from wattledger.plans import alert_pass, jobs, report
+from wattledger.plans import alert_pass, housekeeping, jobs, report
 from wattledger.plans.billing_run import backfill_days, run_day
 from wattledger.plans.store import Store
 from wattledger.schemas import LAKE
@@ -36,9 +37,9 @@ def write_tariff(folder, day, *rows):
     return str(path)
 
 
-@pytest.fixture
-def store(spark, tmp_path):
-    """Three days, four households, one reading delivered in two micro-batches."""
+@pytest.fixture(scope="module")
+def filled(spark, tmp_path_factory):
+    """Three days, four households, two readings delivered in two micro-batches."""
     rng = random.Random(3)
     rows = [
         reading(f"e{d}-{h}-{i}", d * 300 + i * 20.0, household=f"H-{h}",
@@ -46,7 +47,7 @@ def store(spark, tmp_path):
                 zone=SETTINGS.zones[h])
         for d in range(3) for h in range(4) for i in range(10)
     ]
-    target = Store(str(tmp_path / "store"))
+    target = Store(str(tmp_path_factory.mktemp("filled") / "store"))
     batch = readings.decode_readings(messages(spark, rows))
     speed.write_lake_batch(batch, 0, target, SETTINGS, clock)
     again = readings.decode_readings(messages(spark, rows[:2], 1000))
@@ -54,10 +55,9 @@ def store(spark, tmp_path):
     return target
 
 
-@pytest.fixture
-def drop(tmp_path):
-    folder = tmp_path / "drop"
-    folder.mkdir()
+@pytest.fixture(scope="module")
+def drop(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("drop")
     low = "residential_low,False"
     write_tariff(folder, 0, f"H-0,20,{low}", "H-1,21,residential_high,True", f"H-2,22,{low}")
     write_tariff(folder, 1, f"H-0,,{low}", f"H-0,,{low}", f"H-1,-1,{low}", f"H-2,23,{low}")
@@ -66,6 +66,28 @@ def drop(tmp_path):
     return folder
 
 
+@pytest.fixture(scope="module")
+def billed(spark, filled, drop, tmp_path_factory):
+    target = copied(filled, tmp_path_factory.mktemp("billed"))
+    bill_each_day(spark, target, drop)
+    return target
+
+
+def copied(source, folder):
+    return Store(str(shutil.copytree(source.root, folder / "copy")))
+
+
+@pytest.fixture
+def store(filled, tmp_path):
+    """A fresh copy of the filled store."""
+    return copied(filled, tmp_path)
+
+
+@pytest.fixture
+def billed_copy(billed, tmp_path):
+    return copied(billed, tmp_path)
+
+
 BILL = ("household_id", "sim_day", "tariff_rate", "tariff_source", "bill_amount")
 
 
@@ -102,8 +124,8 @@ def bill_each_day(spark, store, drop, run="r"):
         run_day(spark, store, day, str(drop / f"tariff_simday{day}.csv"), f"{run}{day}", SETTINGS, clock)
 
 
-def test_day_by_day_runs(spark, store, drop):
-    bill_each_day(spark, store, drop)
+def test_day_by_day_runs(spark, billed):
+    store = billed
     assert values(store.bills(spark), *BILL) == expected(store.lake(spark))
     assert values(store.unbilled(spark), "household_id", "sim_day") == [("H-3", d) for d in range(3)]
     rows = {r.sim_day: r for r in store.reconciliation(spark).collect()}
@@ -115,7 +137,7 @@ def test_day_by_day_runs(spark, store, drop):
     assert (third.tariff_rows, third.duplicate_tariff_rows, third.drift_pct) == (2, 1, 0.0)
     assert store.tariff_rows(spark).where("NOT is_valid AND sim_day = 1").count() == 3
     beats = store.heartbeats(spark).where("component = 'batch_layer'")
-    assert values(beats, "status") == [("OK",)] * 3
+    assert values(beats, "status", "detail") == [("OK", "sim_day=2 run_id=r2")]
 
 
 def test_backfill_equals_day_by_day(spark, store, drop):
@@ -133,13 +155,13 @@ def test_backfill_falls_back_to_stored_tariffs(spark, store, drop):
     assert values(store.bills(spark), *BILL) == expected(store.lake(spark))
 
 
-def test_reruns_replace_a_day_and_unfinished_runs_stay_hidden(spark, store, drop):
-    bill_each_day(spark, store, drop)
+def test_reruns_replace_a_day_and_unfinished_runs_stay_hidden(spark, billed_copy, drop, tmp_path):
+    store = billed_copy
     before = values(store.bills(spark), *BILL)
-    bill_each_day(spark, store, drop)
+    run_day(spark, store, 1, str(drop / "tariff_simday1.csv"), "r1", SETTINGS, clock)
     assert values(store.bills(spark), *BILL) == before
 
-    file = write_tariff(drop, 2, "H-0,30,residential_low,False")
+    file = write_tariff(tmp_path, 2, "H-0,30,residential_low,False")
     unfinished = store.bills(spark).where("sim_day = 2").drop("run_id")
     sinks.replace_day(unfinished.withColumn("bill_amount", F.lit(0.0)), store.bills_path, "crashed")
     assert values(store.bills(spark), *BILL) == before
@@ -158,21 +180,24 @@ def test_an_empty_day_is_an_error_and_reported(spark, store, drop):
     assert beat.status == "FAILED" and "sim_day=9" in beat.detail
 
 
-def test_lake_day_lists_only_its_folder(spark, store):
+def test_lake_day_lists_only_its_folder(spark, filled):
+    store = filled
     day = lake_source.scan_lake_day(spark, store.lake_path, 1)
     assert values(day.select("sim_day").distinct(), "sim_day") == [(1,)]
     assert all("sim_day=1/" in f for f in day.inputFiles())
     assert values(lake_source.scan_lake_days(spark, store.lake_path), "sim_day") == [(0,), (1,), (2,)]
 
 
-def test_lake_scan_prunes_partitions_and_columns(spark, store):
+def test_lake_scan_prunes_partitions_and_columns(spark, filled):
+    store = filled
     query = store.lake(spark).where("sim_day = 1").groupBy("household_id").count()
     plan = query._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(sim_day" in plan
     assert "ReadSchema: struct<household_id:string>" in plan
 
 
-def test_compacted_day_keeps_its_rows(spark, store, tmp_path):
+def test_compacted_day_keeps_its_rows(spark, filled, tmp_path):
+    store = filled
     target = str(tmp_path / "compact")
     day = store.lake(spark).where("sim_day = 0")
     sinks.compact_day(day, target)
@@ -182,8 +207,8 @@ def test_compacted_day_keeps_its_rows(spark, store, tmp_path):
     assert values(compact, *names) == values(day, *names)
 
 
-def test_report_files(spark, store, drop, tmp_path):
-    bill_each_day(spark, store, drop)
+def test_report_files(spark, billed, tmp_path):
+    store = billed
     out = str(tmp_path / "reports")
     report.write_report(store.bills(spark), 1, out)
     lines = spark.read.option("header", True).csv(f"{out}/sim_day=1")
@@ -197,8 +222,8 @@ def test_report_files(spark, store, drop, tmp_path):
     assert parts["top_bills"].count() == 3
 
 
-def test_alert_passes_over_the_store(spark, store, drop):
-    bill_each_day(spark, store, drop)
+def test_alert_passes_over_the_store(spark, billed_copy):
+    store = billed_copy
     first = alert_pass.run_alert_pass(spark, store, at(9000), 1, SETTINGS)
     opened = values(first, "alert_type", "scope", "transition")
     assert ("NO_DATA", "speed_layer", "triggered") in opened
@@ -230,3 +255,25 @@ def test_speed_command_reads_message_files(spark, tmp_path):
     target = Store(str(tmp_path / "s"))
     assert target.lake(spark).count() == 1
     assert target.zone_windows(spark).count() == 2
+
+
+def test_closed_days_and_expired_batches(spark, store, tmp_path):
+    names = ("household_id", "sim_day", "consumption_kwh", "reading_count", "grid_zone")
+    before = values(store.running_totals(spark, SETTINGS), *names)
+    for _ in range(2):
+        housekeeping.close_day(spark, store, 0, SETTINGS)
+    assert values(store.running_totals(spark, SETTINGS), *names) == before
+    assert len(values(store.running_totals(spark, SETTINGS, [0]), *names)) == 4
+
+    late = readings.decode_readings(messages(spark, [reading("late", 5.0, household="H-0", used=2.0)]))
+    speed.write_lake_batch(late, 2, store, SETTINGS, clock)
+    counts = dict(values(store.running_totals(spark, SETTINGS, [0]), "household_id", "reading_count"))
+    assert counts["H-0"] == dict((h, n) for h, d, _, n, _ in before if d == 0)["H-0"] + 1
+    housekeeping.close_day(spark, store, 0, SETTINGS)
+    again = dict(values(store.running_totals(spark, SETTINGS, [0]), "household_id", "reading_count"))
+    assert again == counts
+
+    housekeeping.expire_live(spark, store, at(5000 + 6 * 3600), SETTINGS)
+    assert store.quality(spark).count() == 3
+    housekeeping.expire_live(spark, store, at(5001 + 6 * 3600), SETTINGS)
+    assert store.quality(spark).isEmpty()

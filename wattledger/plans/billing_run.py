@@ -51,8 +51,8 @@ class _Run:
 
     def _stage(self, rows: DataFrame, path: str, schema) -> DataFrame:
         sinks.replace_day(rows, path, self.run_id)
-        mine = (F.col("run_id") == self.run_id) & F.col("sim_day").isin(self.days)
-        return self.store.read(self.spark, path, schema, mine).drop("run_id")
+        written = self.store.read_days(self.spark, path, schema, self.days)
+        return written.where(F.col("run_id") == self.run_id).drop("run_id")
 
     def daily(self, lake: DataFrame) -> DataFrame:
         rows = exact_daily(lake, self.settings)
@@ -73,9 +73,8 @@ class _Run:
         billed = self._stage(
             bill_ops.compute_bills(enriched, self.settings), self.store.bills_path, schemas.BILL
         )
-        running = self.store.running_totals(self.spark, self.settings)
         metrics = reconciliation.reconciliation_metrics(
-            running.where(F.col("sim_day").isin(self.days)),
+            self.store.running_totals(self.spark, self.settings, self.days),
             daily,
             lake,
             validated,
@@ -144,8 +143,7 @@ def backfill_days(
     days = [day for day, _ in ready]
     run = _Run(spark, store, settings, run_id, days)
     try:
-        chosen = F.col("sim_day").isin(days)
-        lake = store.read(spark, store.lake_path, schemas.LAKE, chosen)
+        lake = store.lake(spark, days)
         daily = run.daily(lake)
         validated = run.tariff_rows(tariff_files.scan_tariff_files(spark, list(ready)))
         reference = run.reference(validated)

@@ -5,6 +5,8 @@ spark-submit wattledger/plans/jobs.py bill-day --store ROOT --sim-day 3 --tariff
 spark-submit wattledger/plans/jobs.py backfill --store ROOT --tariff-folder DIR
 spark-submit wattledger/plans/jobs.py alerts --store ROOT --pass-id 7
 spark-submit wattledger/plans/jobs.py report --store ROOT --sim-day 3 --out DIR
+spark-submit wattledger/plans/jobs.py close-day --store ROOT --sim-day 3
+spark-submit wattledger/plans/jobs.py expire --store ROOT
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from wattledger.operators.readings import decode_readings
 from wattledger.operators.reconciliation import pending_days
 from wattledger.plans.alert_pass import run_alert_pass
 from wattledger.plans.billing_run import backfill_days, run_day
+from wattledger.plans.housekeeping import close_day, expire_live
 from wattledger.plans.report import write_report
 from wattledger.plans.store import Store
 from wattledger.session import prepare
@@ -34,7 +37,7 @@ def _pairs(items: list[str]) -> dict[str, str]:
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("speed", "bill-day", "backfill", "alerts", "report"):
+    for name in ("speed", "bill-day", "backfill", "alerts", "report", "close-day", "expire"):
         job = jobs.add_parser(name)
         job.add_argument("--store", required=True)
         job.add_argument("--set", action="append", default=[], metavar="SETTING=VALUE")
@@ -44,7 +47,7 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--source-option", action="append", default=[])
             job.add_argument("--dedup-within-watermark", action="store_true")
             job.add_argument("--available-now", action="store_true")
-        if name in ("bill-day", "report"):
+        if name in ("bill-day", "report", "close-day"):
             job.add_argument("--sim-day", type=int, required=True)
         if name == "bill-day":
             job.add_argument("--tariff-file", required=True)
@@ -83,7 +86,8 @@ def _backfill(spark: SparkSession, store: Store, settings: Settings, folder: str
     """Bill every pending day whose tariff file is ready."""
     now = utc_now().timestamp()
     today = int((now - settings.epoch_seconds) // settings.day_seconds)
-    lake_days = store.lake(spark).select("sim_day").distinct()
+    recent = range(max(0, today - settings.pending_lookback_days), today)
+    lake_days = store.lake(spark, recent).select("sim_day").distinct()
     pending = pending_days(spark, lake_days, store.reconciliation(spark), today, settings)
     ready = scan_ready_days(spark, folder).join(pending, "sim_day", "left_semi")
     chosen = sorted((row.sim_day, row.path) for row in ready.collect())
@@ -105,8 +109,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         _backfill(spark, store, settings, args.tariff_folder)
     elif args.job == "alerts":
         run_alert_pass(spark, store, utc_now(), args.pass_id, settings)
+    elif args.job == "close-day":
+        close_day(spark, store, args.sim_day, settings)
+    elif args.job == "expire":
+        expire_live(spark, store, utc_now(), settings)
     else:
-        write_report(store.bills(spark), args.sim_day, args.out)
+        write_report(store.bills(spark, [args.sim_day]), args.sim_day, args.out)
 
 
 if __name__ == "__main__":

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from wattledger import schemas
 from wattledger.operators import alerts, consumption, reconciliation
 from wattledger.settings import Settings
+from wattledger.sources.files import partition_folders
 from wattledger.sources.tables import scan_table
 
 ALERT_CHANGE = StructType(
@@ -20,6 +23,10 @@ TARIFF_ROW = schemas.columns(
     "household_id string, raw_rate string, tariff_rate double, billing_tier string, "
     "subsidy_flag boolean, published_at string, is_valid boolean, sim_day int, run_id string"
 )
+CLOSED_TOTAL = schemas.columns(
+    "household_id string, grid_zone string, consumption_kwh double, solar_kwh double, "
+    "reading_count bigint, last_event_time timestamp, through_batch bigint, sim_day int"
+)
 UNBILLED = schemas.columns("household_id string, sim_day int, run_id string")
 
 
@@ -48,6 +55,10 @@ class Store:
     def partial_totals_path(self) -> str:
         return self._path("household_partials")
 
+    @property
+    def closed_totals_path(self) -> str:
+        return self._path("household_totals")
+
     @property
     def quality_path(self) -> str:
         return self._path("stream_quality")
@@ -103,11 +114,30 @@ class Store:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+        return self._nothing(spark, schema)
+
+    def read_days(
+        self, spark: SparkSession, path: str, schema: StructType, days: Sequence[int] | None
+    ) -> DataFrame:
+        """Rows of some days, listing only their folders; of all days for None.
+
+        A table partitioned by day and micro-batch has thousands of folders per day, and Spark
+        lists all of them before it prunes.
+        """
+        if days is None:
+            return self.read(spark, path, schema)
+        folders = partition_folders(spark, path, "sim_day", days)
+        if not folders:
+            return self._nothing(spark, schema)
+        return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+    @staticmethod
+    def _nothing(spark: SparkSession, schema: StructType) -> DataFrame:
         nullable = StructType([StructField(f.name, f.dataType) for f in schema])
         return spark.createDataFrame([], nullable)
 
-    def lake(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, self.lake_path, schemas.LAKE)
+    def lake(self, spark: SparkSession, days: Sequence[int] | None = None) -> DataFrame:
+        return self.read_days(spark, self.lake_path, schemas.LAKE, days)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.quarantine_path, schemas.QUARANTINE)
@@ -116,9 +146,18 @@ class Store:
         log = self.read(spark, self.zone_windows_path, schemas.ZONE_WINDOW, where)
         return consumption.zone_window_view(log)
 
-    def running_totals(self, spark: SparkSession, settings: Settings) -> DataFrame:
-        partials = self.read(spark, self.partial_totals_path, schemas.RUNNING_TOTAL)
-        return consumption.running_totals(partials, settings)
+    def running_totals(
+        self, spark: SparkSession, settings: Settings, days: Sequence[int] | None = None
+    ) -> DataFrame:
+        """Running totals: what a day's compact form holds plus the partials after it."""
+        partials = self.read_days(spark, self.partial_totals_path, schemas.RUNNING_TOTAL, days)
+        closed = self.read_days(spark, self.closed_totals_path, CLOSED_TOTAL, days)
+        folded = closed.select("sim_day", "through_batch").distinct()
+        later = partials.join(folded, "sim_day", "left").where(
+            F.col("through_batch").isNull() | (F.col("batch_id") > F.col("through_batch"))
+        )
+        parts = later.drop("batch_id").unionByName(closed)
+        return consumption.running_totals(parts, settings)
 
     def quality(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.quality_path, schemas.STREAM_QUALITY)
@@ -133,8 +172,14 @@ class Store:
         log = self.read(spark, self.reconciliation_path, schemas.RECONCILIATION)
         return reconciliation.latest_reconciliation(log)
 
-    def _committed(self, spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-        rows = self.read(spark, path, schema)
+    def _committed(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StructType,
+        days: Sequence[int] | None = None,
+    ) -> DataFrame:
+        rows = self.read_days(spark, path, schema, days)
         return reconciliation.committed(rows, self.reconciliation(spark))
 
     def daily(self, spark: SparkSession) -> DataFrame:
@@ -143,8 +188,8 @@ class Store:
     def tariffs(self, spark: SparkSession) -> DataFrame:
         return self._committed(spark, self.tariffs_path, schemas.TARIFF_REFERENCE)
 
-    def bills(self, spark: SparkSession) -> DataFrame:
-        return self._committed(spark, self.bills_path, schemas.BILL)
+    def bills(self, spark: SparkSession, days: Sequence[int] | None = None) -> DataFrame:
+        return self._committed(spark, self.bills_path, schemas.BILL, days)
 
     def unbilled(self, spark: SparkSession) -> DataFrame:
         return self._committed(spark, self.unbilled_path, UNBILLED)

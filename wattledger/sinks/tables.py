@@ -73,8 +73,8 @@ def append_stream_quality(quality: DataFrame, path: str) -> None:
 
 
 def upsert_heartbeat(heartbeats: DataFrame, path: str) -> None:
-    """Add heartbeats to the log; the newest one per component is its state."""
-    heartbeats.write.mode("append").parquet(path)
+    """The present heartbeat of the given components, in place of their previous one."""
+    replace_partitions(heartbeats, path, ("component",), balance=False)
 
 
 def replace_day(rows: DataFrame, path: str, run_id: str) -> None:

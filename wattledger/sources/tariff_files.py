@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.schemas import TARIFF_EXTRACT
+from wattledger.sources.files import Folder
 
 MARKER = "_SUCCESS_simday"
 
@@ -24,23 +25,15 @@ def scan_ready_days(spark: SparkSession, folder: str) -> DataFrame:
     the Hadoop file system the session is already connected to: one listing and one short file
     per day, never any tariff row.
     """
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{folder.rstrip('/')}/{MARKER}*")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = Folder(spark, folder)
     ready = []
-    for status in fs.globStatus(pattern) or []:
-        day = status.getPath().getName().removeprefix(MARKER)
+    for marker in files.names(f"{MARKER}*"):
+        day = marker.removeprefix(MARKER)
         if not day.isdigit():
             continue
-        stream = fs.open(status.getPath())
-        try:
-            name = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-        finally:
-            stream.close()
-        target = hadoop.Path(folder, name) if name else None
-        if target is not None and fs.exists(target):
-            ready.append((int(day), target.toString()))
+        name = files.text(marker).strip()
+        if name and files.exists(name):
+            ready.append((int(day), files.child(name)))
     return spark.createDataFrame(ready, "sim_day int, path string")
 
 
