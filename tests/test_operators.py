@@ -1,7 +1,6 @@
 """Operators on small inputs, with brute force where rows interact."""
 
 import random
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -308,8 +307,8 @@ def test_rules(spark):
         assert got.breached is breached
 
     none = frame(spark, "t timestamp", (at(10),))
-    assert alerts.rule_no_events(none, "t", at(131), SETTINGS).first().breached
-    assert not alerts.rule_no_events(none, "t", at(129), SETTINGS).first().breached
+    assert alerts.rule_no_events(none, "t", at(131)).first().breached
+    assert not alerts.rule_no_events(none, "t", at(129)).first().breached
 
 
 def test_quality_rules_without_rows(spark):
@@ -454,4 +453,3 @@ def test_bill_views(spark):
         ("H-1", 4, 200.13),
         ("H-3", 4, 170.0),
     ]
-    assert float(Decimal("200.13")) == 200.13

@@ -13,7 +13,7 @@ from verification import stream_runs as runs
 from verification.inputs import AS_OF, EARLIER, SETTINGS
 from verification.oracle import moment
 from wattledger.functions import billing, clock
-from wattledger.functions.exact import fixed_text, half_up
+from wattledger.functions.exact import half_up
 from wattledger.operators import (
     alerts,
     audit,
@@ -568,10 +568,11 @@ register(
 
 
 def pending(s, d):
-    """Days in the lake against days with any bill on an odd day."""
+    """Recent lake days when the bills of day 27 and of all days from 28 on are still missing."""
     lake_days = given.stored_lake(s, d).select("sim_day").distinct()
-    billed = stored_bills(s, d).where(F.col("sim_day") != 27).select("sim_day").distinct()
-    return reconciliation.pending_days(s, lake_days, billed.where(F.col("sim_day") < 28), 29, SETTINGS)
+    done = (F.col("sim_day") != 27) & (F.col("sim_day") < 28)
+    billed = stored_bills(s, d).where(done).select("sim_day").distinct()
+    return reconciliation.pending_days(s, lake_days, billed, CURRENT_DAY, SETTINGS)
 
 
 register(
@@ -1043,7 +1044,7 @@ register(
 )
 register(
     "rule_no_events",
-    lambda s, d: alerts.rule_no_events(given.typed(s, d), "event_time", AS_OF, SETTINGS),
+    lambda s, d: alerts.rule_no_events(given.typed(s, d), "event_time", AS_OF),
     f"""
     SELECT 'NO_METER_EVENTS' AS alert_type, 'meter_producer' AS scope, 'CRITICAL' AS severity,
            'Streaming source delivered no events in the last 2 minutes' AS message,

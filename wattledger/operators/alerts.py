@@ -236,9 +236,7 @@ def rule_task_failed(run_log: DataFrame, as_of) -> DataFrame:
     )
 
 
-def rule_no_events(
-    arrivals: DataFrame, time: str, as_of, settings: Settings, seconds: float = 120.0
-) -> DataFrame:
+def rule_no_events(arrivals: DataFrame, time: str, as_of, seconds: float = 120.0) -> DataFrame:
     """No reading arrived within the last `seconds`."""
     recent = arrivals.where(
         (F.col(time) > seconds_before(as_of, seconds)) & (F.col(time) <= instant(as_of))

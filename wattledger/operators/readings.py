@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions import clock, quality
+from wattledger.functions.exact import half_up
 from wattledger.functions.once import with_computed
 from wattledger.schemas import READING
 from wattledger.settings import Settings
@@ -65,7 +66,7 @@ def with_time_of_day(rows: DataFrame, settings: Settings, time: str = "event_tim
     exact = clock.day_fraction(F.col(time), settings)
     return rows.withColumns(
         {
-            "day_fraction": F.round(exact.cast("decimal(38,10)"), 3).cast("double"),
+            "day_fraction": half_up(exact, 3),
             "sim_time_of_day": clock.time_of_day(exact),
         }
     )

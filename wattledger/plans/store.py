@@ -162,6 +162,14 @@ class Store:
     def quality(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.quality_path, schemas.STREAM_QUALITY)
 
+    def quality_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The quality row of one micro-batch; none for an empty one."""
+        folders = partition_folders(spark, self.quality_path, "batch_id", [batch_id])
+        if not folders:
+            return self._nothing(spark, schemas.STREAM_QUALITY)
+        reader = spark.read.schema(schemas.STREAM_QUALITY).option("basePath", self.quality_path)
+        return reader.parquet(*folders)
+
     def heartbeats(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.heartbeats_path, schemas.HEARTBEAT)
 

@@ -107,6 +107,7 @@ def write_lake_batch(
             }
         )
         sinks.append_stream_quality(quality, store.quality_path)
+        written = store.quality_batch(batch.sparkSession, batch_id)
         detail = F.format_string(
             "batch_id=%d clean=%d invalid=%d dup=%d",
             "batch_id",
@@ -114,7 +115,7 @@ def write_lake_batch(
             "invalid_events",
             "duplicate_events",
         )
-        beat = quality.select(
+        beat = written.select(
             F.lit("speed_layer").alias("component"),
             F.col("recorded_at").alias("last_heartbeat"),
             F.lit("OK").alias("status"),
