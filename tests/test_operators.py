@@ -392,6 +392,37 @@ def test_sustained_breach_does_not_depend_on_buckets(spark, bucket):
     )
 
 
+def test_monitor_rules(spark):
+    def held(name, label, times, value):
+        return [(name, label, value, at(t)) for t in times]
+
+    up, age = "pipeline_component_up", "pipeline_component_staleness_seconds"
+    budget = "pipeline_component_stale_budget_seconds"
+    rows = [
+        *held(up, "a", (0, 30, 60), 0.0),
+        *held(up, "b", (0, 30), 0.0),
+        *held(up, "b", (45,), 1.0),
+        *held(up, "b", (60, 90), 0.0),
+        *held(age, "a", (0, 15, 30), 130.0),
+        *held(budget, "a", (0, 15, 30), 120.0),
+        *held(age, "b", (0, 15, 30), 119.0),
+        *held(budget, "b", (0, 15, 30), 120.0),
+        *held("batch_reconciliation_drift_pct", "", (0,), -11.0),
+        *held("alerts_active", "LOW_RENEWABLE", (0,), 2.0),
+        *held("alerts_active", "NO_DATA", (0,), 2.0),
+        *held("stream_invalid_event_rate_pct", "", (0, 60, 119), 9.0),
+    ]
+    samples = frame(spark, "name string, label string, value double, sampled_at timestamp", *rows)
+    for bucket in (20, 3600):
+        spells = alerts.monitor_alerts(samples, SETTINGS, bucket)
+        assert values(spells, "alert", "label", "severity", "held_seconds") == [
+            ("LowRenewableContribution", "LOW_RENEWABLE", "WARNING", 0.0),
+            ("PipelineComponentStale", "a", "CRITICAL", 30.0),
+            ("PipelineComponentUnhealthy", "a", "CRITICAL", 60.0),
+            ("ReconciliationDrift", "", "WARNING", 0.0),
+        ]
+
+
 def test_projection(spark):
     running = frame(
         spark,

@@ -1042,6 +1042,57 @@ register(
     WHERE breached GROUP BY grid_zone, spell
     HAVING epoch_us(max(window_end)) - epoch_us(min(window_end)) >= 1800000000""",
 )
+
+
+def monitor_samples(s, d):
+    """Gauges of every micro-batch and heartbeat, as a monitor would have sampled them."""
+    quality = given.stored_quality(s, d)
+    rate = F.lit(100.0) * F.col("invalid_events") / F.col("total_events")
+    gauges = {
+        "stream_invalid_event_rate_pct": rate,
+        "stream_processing_lag_seconds": F.col("avg_lag_seconds"),
+    }
+    streams = [
+        quality.select(
+            F.lit(name).alias("name"),
+            F.lit("").alias("label"),
+            value.alias("value"),
+            F.col("recorded_at").alias("sampled_at"),
+        )
+        for name, value in gauges.items()
+    ]
+    beats = given.heartbeats(s, d).select(
+        F.lit("pipeline_component_up").alias("name"),
+        F.col("component").alias("label"),
+        F.when(F.col("status") == "OK", 1.0).otherwise(0.0).alias("value"),
+        F.col("last_heartbeat").alias("sampled_at"),
+    )
+    return streams[0].unionByName(streams[1]).unionByName(beats)
+
+
+register(
+    "monitor_alerts",
+    lambda s, d: alerts.monitor_alerts(monitor_samples(s, d), SETTINGS),
+    f"""
+    SELECT alert, label, CASE alert WHEN 'PipelineComponentUnhealthy' THEN 'CRITICAL'
+                                    ELSE 'WARNING' END AS severity,
+           min(taken) AS started_at, max(taken) AS ended_at, count(*) AS samples,
+           CAST(epoch_us(max(taken)) - epoch_us(min(taken)) AS DOUBLE) / 1e6 AS held_seconds
+    FROM (SELECT *, row_number() OVER (PARTITION BY alert, label ORDER BY taken, breached)
+                      - row_number() OVER (PARTITION BY alert, label, breached ORDER BY taken) AS spell
+          FROM (SELECT 'HighInvalidEventRate' AS alert, '' AS label, recorded_at AS taken,
+                       100.0::DOUBLE * invalid_events / total_events
+                         > {SETTINGS.invalid_rate_pct} AS breached FROM quality
+                UNION ALL
+                SELECT 'HighStreamLag', '', recorded_at,
+                       coalesce(avg_lag_seconds > {SETTINGS.stream_lag_seconds}, FALSE) FROM quality
+                UNION ALL
+                SELECT 'PipelineComponentUnhealthy', component, last_heartbeat, status <> 'OK'
+                FROM heartbeat))
+    WHERE breached GROUP BY alert, label, spell
+    HAVING epoch_us(max(taken)) - epoch_us(min(taken)) >= CASE alert WHEN 'HighInvalidEventRate'
+             THEN 120000000 ELSE 60000000 END""",
+)
 register(
     "rule_no_events",
     lambda s, d: alerts.rule_no_events(given.typed(s, d), "event_time", AS_OF),

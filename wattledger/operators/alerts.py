@@ -321,6 +321,79 @@ def sustained_breach(
     )
 
 
+# Seconds a monitor rule's condition must hold, and its severity.
+MONITOR_RULES = {
+    "PipelineComponentStale": (30, CRITICAL),
+    "PipelineComponentUnhealthy": (60, CRITICAL),
+    "HighInvalidEventRate": (120, WARNING),
+    "HighStreamLag": (60, WARNING),
+    "ReconciliationDrift": (0, WARNING),
+    "LowRenewableContribution": (0, WARNING),
+}
+
+
+def monitor_alerts(samples: DataFrame, settings: Settings, bucket_seconds: int = 3600) -> DataFrame:
+    """Spells of the monitor rules over gauge samples (name, label, value, sampled_at).
+
+    The samples are the rows of `pipeline_gauges` with the time they were taken.
+    """
+    value = F.col("value")
+    conditions = {
+        "pipeline_component_up": ("PipelineComponentUnhealthy", value == 0),
+        "stream_invalid_event_rate_pct": (
+            "HighInvalidEventRate",
+            value > settings.invalid_rate_pct,
+        ),
+        "stream_processing_lag_seconds": ("HighStreamLag", value > settings.stream_lag_seconds),
+        "batch_reconciliation_drift_pct": (
+            "ReconciliationDrift",
+            F.abs(value) > settings.drift_pct,
+        ),
+        "alerts_active": ("LowRenewableContribution", value > 0),
+    }
+    wanted = (F.col("name") != "alerts_active") | (F.col("label") == "LOW_RENEWABLE")
+    rule = F.coalesce(
+        *(F.when(F.col("name") == g, F.lit(alert)) for g, (alert, _) in conditions.items())
+    )
+    breached = F.coalesce(
+        *(F.when(F.col("name") == g, holds) for g, (_, holds) in conditions.items())
+    )
+    single = samples.where(F.col("name").isin(*conditions) & wanted).select(
+        rule.alias("alert"), "label", "sampled_at", breached.alias("breached")
+    )
+
+    def gauge(name: str) -> Column:
+        return F.max(F.when(F.col("name") == name, value))
+
+    age, budget = "pipeline_component_staleness_seconds", "pipeline_component_stale_budget_seconds"
+    stale = (
+        samples.where(F.col("name").isin(age, budget))
+        .groupBy("label", "sampled_at")
+        .agg((gauge(age) > gauge(budget)).alias("breached"))
+        .withColumn("alert", F.lit("PipelineComponentStale"))
+    )
+    flagged = single.unionByName(stale).withColumn("series", F.struct("alert", "label"))
+    spells = sustained_breach(flagged, 0, bucket_seconds)
+
+    def of_rule(part: int) -> Column:
+        return F.coalesce(
+            *(
+                F.when(F.col("series.alert") == alert, F.lit(rule[part]))
+                for alert, rule in MONITOR_RULES.items()
+            )
+        )
+
+    return spells.where(F.col("held_seconds") >= of_rule(0)).select(
+        "series.alert",
+        "series.label",
+        of_rule(1).alias("severity"),
+        "started_at",
+        "ended_at",
+        "samples",
+        "held_seconds",
+    )
+
+
 def alert_merge(open_alerts: DataFrame, candidates: DataFrame) -> DataFrame:
     """Open alerts next to the candidates of their type and scope, from both sides.
 
