@@ -97,7 +97,7 @@ def main() -> None:
                 "value": round(sum(results.values()), 3),
                 "unit": "sec",
                 "queries": results,
-                "sf": Path(sf_dir).name.removeprefix("sf"),
+                "sf": float(Path(sf_dir).name.removeprefix("sf")),
                 "readings": rows,
                 "flagship_readings_per_sec": round(rows / flagship),
                 "cpus": int(cpus),
