@@ -8,15 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattledger.llm import (
     decontamination,
+    katz,
+    line_crf,
     mixing,
     quality_rules,
     secret_scan,
     simhash,
+    suffix_dedup,
+    token_rollup,
     url_filter,
 )
 from wattledger.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(table(spark, sf_dir, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.corpus_rollup(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,6 +37,14 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -46,8 +66,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
+        op2_token_counts,
         op3_quality_rules,
         op4_secret_scan,
+        op5_katz,
+        op6_line_crf,
         op7_decontamination,
         op8_simhash,
         op9_url_filter,
