@@ -11,6 +11,10 @@ from wattledger.session import work_folder
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Rows that a table may have to be offered for a broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -19,14 +23,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """Rows as one struct `row` beside their text, so that added columns cannot clash with theirs."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").alias("text"))
+
+
+def unboxed(rows: DataFrame, docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """The columns of `docs` from `row`, with another text if one is given."""
+    kept = (F.col("row")[c] for c in docs.columns)
+    return rows.select(
+        *(text.alias(c) if c == "text" and text is not None else v.alias(c) for c, v in zip(docs.columns, kept, strict=True))
+    )
+
+
+def text_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Hand Python at most this many texts at once; the session's default suits narrow rows."""
+    if int(spark.conf.get(ARROW_ROWS)) > rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def staged(rows: DataFrame, purpose: str) -> DataFrame:
     """Write rows to the shared work folder and read them back.
 
-    What follows reads files that outlive executors, and nothing before them runs twice.
+    What follows reads files that outlive executors, and nothing before them runs twice. Shuffle
+    files of the write go when it is done, since nothing else uses them.
     """
-    path = work_folder(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = work_folder(spark, purpose)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def small(rows: DataFrame, purpose: str, most: int = BROADCAST_ROWS) -> DataFrame:

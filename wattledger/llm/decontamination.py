@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.once import with_computed
-from wattledger.llm.common import ascii_lower, small, staged
+from wattledger.llm.common import ascii_lower, boxed, small, staged, unboxed
 
 # Characters between item words (after lower-casing), and the words of a window.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -128,25 +128,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document") -> DataFrame:
     """`docs` without contaminated documents, or without their hit spans (remove="span").
 
-    A span goes with the separators that follow its words; other text stays as it is.
+    A span goes with the separators that follow its words; other text stays as it is. Null texts and
+    repeated rows stay as they are.
     """
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = per_document(keyed.select(F.col("_key").alias("key"), "text"), benchmark)
-    hit = small(found.where(F.size("covered") > 0).select(F.col("key").alias("_key"), "covered"), "hits")
+    keyed = boxed(docs).withColumn("key", F.xxhash64("row"))
+    found = per_document(keyed.select("key", "text"), benchmark)
+    hit = small(found.where(F.size("covered") > 0).select("key", "covered"), "hits")
     if remove == "document":
-        return keyed.join(hit, "_key", "left_anti").drop("_key")
+        return unboxed(keyed.join(hit, "key", "left_anti"), docs)
     if remove != "span":
         raise ValueError(f"remove is 'document' or 'span', not {remove!r}")
     text = F.col("text")
     joined = with_computed(
-        keyed.join(hit, "_key", "left"),
-        _w=F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
-        _gaps=F.split(text, WORD, -1),
+        keyed.join(hit, "key", "left"),
+        w=F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
+        gaps=F.split(text, WORD, -1),
     )
-    kept = F.filter(F.transform("_w", lambda x, i: i), lambda i: ~F.array_contains("covered", i))
+    kept = F.filter(F.transform("w", lambda x, i: i), lambda i: ~F.array_contains("covered", i))
     rebuilt = F.concat(
-        F.get("_gaps", F.lit(0)),
-        F.array_join(F.transform(kept, lambda i: F.concat(F.get("_w", i), F.get("_gaps", i + 1))), ""),
+        F.get("gaps", F.lit(0)),
+        F.array_join(F.transform(kept, lambda i: F.concat(F.get("w", i), F.get("gaps", i + 1))), ""),
     )
-    clean = F.when(F.size("covered") > 0, rebuilt).otherwise(text)
-    return joined.select(*(clean.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    return unboxed(joined, docs, F.when(F.size("covered") > 0, rebuilt).otherwise(text))

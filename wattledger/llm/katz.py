@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import crc_fold, staged
+from wattledger.llm.common import crc_fold, staged, text_batches
 from wattledger.llm.packing import pack, unpack
 
 DISCOUNTED = 5
@@ -328,6 +328,7 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     rows count as often as they occur. Without training rows all words are unknown and both scores
     are uniform. An empty table gives an empty result.
     """
+    text_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit("")).cast("binary")
     held = crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT
     rows = docs.select(

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattledger.llm.common import crc_fold
+from wattledger.llm.common import crc_fold, text_batches
 
 FIT_DOCUMENTS = 3000
 FIT_LINES = 120
@@ -243,6 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> C
 
     Without both labels the model is a constant: the share of good labels, 1 without any.
     """
+    text_batches(docs.sparkSession)
     fold, held = HELD_OUT
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (crc_fold(F.col("doc_id"), fold) != held))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.once import with_computed
+from wattledger.llm.common import boxed, unboxed
 
 # Patterns of the base kinds, in the order in which equal starts are listed.
 ASSIGN = (
@@ -192,7 +193,7 @@ def secret_digest(docs: DataFrame) -> DataFrame:
 
 def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The rows and columns of `docs`, every span of `text` replaced by `mark`; overlaps are one span."""
-    found = scan_secrets(docs)
+    found = scan_secrets(boxed(docs))
     text = F.col("text")
     rebuilt = F.aggregate(
         F.array_sort("spans"),
@@ -209,4 +210,4 @@ def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
     )
     clean = F.when(F.size("spans") > 0, rebuilt).otherwise(text)
-    return found.select(*(clean.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    return unboxed(found, docs, clean)

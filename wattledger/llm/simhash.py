@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattledger.llm.common import staged
+from wattledger.llm.common import boxed, staged, unboxed
 from wattledger.llm.components import components
 
 # Fixed values of the contract.
@@ -69,13 +69,12 @@ def links(prints: DataFrame) -> DataFrame:
     return probes.alias("p").join(entries.alias("e"), (F.col("p.key") == F.col("e.key")) & near).select("u", "v")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id, leader for every row of `docs` (doc_id, text).
+def grouped(marked: DataFrame) -> DataFrame:
+    """The rows of `marked` (doc_id, fp and others) with component_id and leader.
 
     component_id is the smallest id reachable (null only if the whole group has null ids); leader is
     the smallest fingerprint of the group and names it in any case.
     """
-    marked = staged(docs.select("doc_id", fingerprints("text").alias("fp")), "fingerprints")
     prints = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(links(prints.select("fp")))
     rooted = prints.join(roots, F.col("fp") == F.col("node"), "left").select(
@@ -83,7 +82,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     )
     ids = rooted.groupBy("leader").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "leader").join(ids, "leader")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id", "leader")
+    return marked.join(named, "fp")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -92,22 +91,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows stay. An
     empty table gives an empty result.
     """
-    return grouped(docs).select(
+    marked = staged(docs.select("doc_id", fingerprints("text").alias("fp")), "fingerprints")
+    return grouped(marked).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One whole row of `docs` per group: the one of smallest id; equal ids: the smallest text.
+    """One whole row of `docs` per group: the one of smallest id, null ids last.
 
-    Rows come back with their own columns.
+    Of rows with the same id the one with the smallest hash stays; rows equal in all are one.
     """
-    groups = grouped(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    leaders = groups.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("leader").alias("_group")).distinct()
-    # A row of the smallest id may still be one of several with that id.
-    candidates = docs.join(leaders, F.col("doc_id").eqNullSafe(F.col("_id")))
-    own = candidates.where(fingerprints("text") == F.col("_fp"))
-    chosen = own.groupBy("_group").agg(
-        F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.coalesce("text", F.lit(""))).alias("row")
+    rows = boxed(docs).withColumn("h", F.xxhash64("row"))
+    marked = staged(
+        rows.select(F.col("row")["doc_id"].alias("doc_id"), "h", fingerprints("text").alias("fp")), "fingerprints"
+    )
+    copies = grouped(marked).groupBy("leader", "doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
+    chosen = copies.groupBy("leader").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h", "n")).alias("best")
     )
-    return chosen.select("row.*")
+    best = staged(chosen.select(F.col("best")["h"].alias("h"), F.col("best")["n"].alias("n")), "kept-rows")
+    kept = rows.join(best, "h")
+    # Only rows that are there more than once have to meet each other.
+    again = kept.where("n > 1").groupBy("h").agg(F.first("row").alias("row"))
+    return unboxed(kept.where("n = 1").select("row").union(again.select("row")), docs)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattledger.llm.common import staged
+from wattledger.llm.common import staged, text_batches
 from wattledger.llm.packing import pack, unpack
 
 #: Length of a repeated string (fixed by the contract), and of the k-mers that place it.
@@ -448,6 +448,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     empty. Rows of equal id never remove each other's bytes; a null id is larger than all others.
     An empty table gives an empty result.
     """
+    text_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
