@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattledger.llm.common import boxed, staged, unboxed
+from wattledger.llm.common import boxed, staged, text_batches, unboxed
 from wattledger.llm.components import components
 
 # Fixed values of the contract.
@@ -91,6 +91,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows stay. An
     empty table gives an empty result.
     """
+    text_batches(docs.sparkSession)
     marked = staged(docs.select("doc_id", fingerprints("text").alias("fp")), "fingerprints")
     return grouped(marked).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
@@ -102,6 +103,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of rows with the same id the one with the smallest hash stays; rows equal in all are one.
     """
+    text_batches(docs.sparkSession)
     rows = boxed(docs).withColumn("h", F.xxhash64("row"))
     marked = staged(
         rows.select(F.col("row")["doc_id"].alias("doc_id"), "h", fingerprints("text").alias("fp")), "fingerprints"
