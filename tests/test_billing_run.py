@@ -277,3 +277,88 @@ def test_closed_days_and_expired_batches(spark, store, tmp_path):
     assert store.quality(spark).count() == 3
     housekeeping.expire_live(spark, store, at(5001 + 6 * 3600), SETTINGS)
     assert store.quality(spark).isEmpty()
+
+
+def test_backfill_skips_tariffs_of_days_without_readings(spark, tmp_path):
+    rows = [reading(f"e{d}", d * 300 + 5.0, household="H-0", used=2.0, made=0.0) for d in (0, 2)]
+    low = "residential_low,False"
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    files = {
+        0: write_tariff(drop, 0, f"H-0,10,{low}"),
+        1: write_tariff(drop, 1, f"H-0,20,{low}"),
+        2: write_tariff(drop, 2, f"H-9,30,{low}"),
+    }
+    bills = []
+    for name in ("daily", "backfill"):
+        target = Store(str(tmp_path / name))
+        speed.write_lake_batch(readings.decode_readings(messages(spark, rows)), 0, target, SETTINGS, clock)
+        if name == "daily":
+            for day, file in files.items():
+                try:
+                    run_day(spark, target, day, file, f"r{day}", SETTINGS, clock)
+                except lake_source.EmptyDayError:
+                    assert day == 1
+        else:
+            backfill_days(spark, target, sorted(files.items()), "all", SETTINGS, clock)
+        bills.append(values(target.bills(spark), *BILL))
+        assert values(target.tariffs(spark), "sim_day") == [(0,), (2,)]
+        assert values(target.newest_bills(spark), "sim_day") == [(2,)]
+    assert bills[0] == bills[1]
+    assert bills[0][-1] == ("H-0", 2, 10.0, "fallback_previous_day", 20.0)
+
+
+def test_a_batch_that_lands_while_a_day_is_closed_counts_once(spark, tmp_path, monkeypatch):
+    target = Store(str(tmp_path / "store"))
+
+    def deliver(number, used):
+        rows = [reading(f"e{number}", 5.0, used=used)]
+        speed.write_lake_batch(readings.decode_readings(messages(spark, rows)), number, target, SETTINGS, clock)
+
+    deliver(0, 2.0)
+    totals = Store.running_totals
+
+    def interrupted(self, *args):
+        monkeypatch.setattr(Store, "running_totals", totals)
+        deliver(1, 5.0)
+        return self.running_totals(*args)
+
+    monkeypatch.setattr(Store, "running_totals", interrupted)
+    housekeeping.close_day(spark, target, 0, SETTINGS)
+    assert values(target.running_totals(spark, SETTINGS), "consumption_kwh", "reading_count") == [(7.0, 2)]
+
+
+def test_expiry_never_brings_an_old_version_back(spark, tmp_path):
+    target = Store(str(tmp_path / "store"))
+    window = "grid_zone string, window_start timestamp, total_consumption_kwh double"
+    for number, rows in enumerate(
+        ([("North", at(0), 5.0), ("North", at(40_000), 1.0)], [("North", at(0), 9.0)])
+    ):
+        sinks.upsert_zone_windows(
+            spark.createDataFrame(rows, window), target.zone_windows_path, number, F.lit(at(40_000))
+        )
+    housekeeping.expire_live(spark, target, at(50_000), SETTINGS)
+    kept = target.zone_windows(spark).where(F.col("window_start") == F.lit(at(0)))
+    assert values(kept, "total_consumption_kwh") == [(9.0,)]
+
+
+def test_ready_days_open_wanted_markers_only(spark, drop):
+    assert values(tariff_files.scan_ready_days(spark, str(drop), {1, 7}), "sim_day") == [(1,)]
+
+
+def test_work_folder_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from wattledger import session
+
+    class Cluster:
+        conf = spark.conf
+
+        class sparkContext:  # noqa: N801
+            master = "spark://somewhere:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    if spark.conf.get(session.CHECKPOINT_DIR, None) is None:
+        with pytest.raises(ValueError, match="share"):
+            session.work_folder(Cluster, "x")

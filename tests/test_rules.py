@@ -63,7 +63,7 @@ def test_not_a_number_is_out_of_range(spark):
 @pytest.mark.parametrize(
     "used, made, net, export, share",
     [(5, 8, 0, 3, 100), (10, 3, 7, 0, 30), (10, 2.5, 7.5, 0, 25), (10, 40, 0, 30, 100),
-     (0, 5, 0, 5, 0), (30.008, 4.36, 25.648, 0, 14.53)],
+     (1e8, 12344999.99996, 87655000.00004, 0, 12.34), (0, 5, 0, 5, 0), (30.008, 4.36, 25.648, 0, 14.53)],
 )
 def test_energy_balance(spark, used, made, net, export, share):
     c, s = num(used), num(made)
@@ -90,7 +90,8 @@ def test_bill_of_extreme_values_keeps_all_digits(spark):
 @pytest.mark.parametrize(
     "text, rate",
     [("18.5", 18.5), (" 5 ", 5.0), ("1e1", 10.0), ("-1", -1.0), ("", None), ("abc", None),
-     ("NaN", None), ("Infinity", None), ("5d", None), (None, None)],
+     ("NaN", None), ("Infinity", None), ("5d", None), (None, None), ("1000000000", 1e9),
+     ("0.0000004", 4e-7), ("18.3712345", 18.3712345), (".5", 0.5), ("1e999", None)],
 )
 def test_tariff_rate_text(spark, text, rate):
     assert evaluate(spark, billing.tariff_rate(F.lit(text).cast("string"))) == rate

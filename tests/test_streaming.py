@@ -1,11 +1,13 @@
 """The streaming jobs over message files."""
 
+import shutil
 from datetime import timezone
 
 from pyspark.sql import functions as F
 
 from tests.helpers import SETTINGS, at, messages, reading, values
 from wattledger.operators import consumption, readings
+from wattledger.plans import housekeeping
 from wattledger.plans.store import Store
 from wattledger.sources.readings import source_readings_stream
 from wattledger.streaming import speed
@@ -148,3 +150,31 @@ def test_live_readings_join_the_latest_tariff_while_streaming(spark, folder):
     query.awaitTermination()
     got = spark.read.parquet(f"{folder}/out")
     assert sorted((r.event_id, r.tariff_rate) for r in got.collect()) == [("e1", 20.0), ("e2", None)]
+
+
+def test_a_new_checkpoint_loses_and_replaces_nothing(spark, folder):
+    store = Store(folder)
+
+    def run(name, rows, fresh):
+        messages(spark, rows).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+        if fresh:
+            shutil.rmtree(f"{folder}/_checkpoints", ignore_errors=True)
+        for start in (speed.start_lake, speed.start_zone_windows):
+            source = source_readings_stream(spark, f"{folder}/{name}", SETTINGS)
+            start(readings.decode_readings(source), store, SETTINGS, clock, True).awaitTermination()
+
+    run("one", [reading("e1", 1.0, used=3.0), reading("x", 2.0, grid_zone="X")], True)
+    housekeeping.close_day(spark, store, 0, SETTINGS)
+    run("two", [reading("e2", 1.5, used=2.0), reading("y", 2.0, grid_zone="X")], True)
+    run("two", [reading("e3", 2.5, used=1.0)], False)
+    step = speed.GENERATION_BATCHES
+    assert values(store.lake(spark), "event_id", "batch_id") == [("e1", 0), ("e2", step), ("e3", step + 1)]
+    assert store.quarantine(spark).count() == 2
+    totals = store.running_totals(spark, SETTINGS)
+    assert values(totals, "consumption_kwh", "reading_count") == [(6.0, 3)]
+    assert store.quality(spark).count() == 3
+    # The newest version of a window is the one of the new checkpoint.
+    newest = store.zone_windows(spark).where("grid_zone = 'North'").agg({"total_consumption_kwh": "max"})
+    assert newest.first()[0] == 3.0
+    housekeeping.close_day(spark, store, 0, SETTINGS)
+    assert values(store.running_totals(spark, SETTINGS), "consumption_kwh", "reading_count") == [(6.0, 3)]

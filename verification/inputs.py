@@ -162,6 +162,9 @@ def tariff_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(v == 1, (base + 1).cast("string"))
         .when((c + d) % 11 == 0, F.lit(""))
         .when((c + d) % 13 == 0, F.lit("-1"))
+        .when((c + d) % 83 == 5, F.lit("1000000000"))
+        .when((c + d) % 89 == 5, F.lit("0.0000004"))
+        .when((c + d) % 97 == 5, F.lit("18.3712345"))
         .otherwise(base.cast("string"))
     )
     tier = (

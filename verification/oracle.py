@@ -17,12 +17,14 @@ ZONES = "('North'), ('South'), ('East'), ('West')"
 
 
 def half_up(value: str, digits: int) -> str:
-    return f"CAST(round(CAST({value} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    """One rounding of the shortest decimal text of a double."""
+    return f"CAST(round(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def text(value: str, digits: int) -> str:
     kind = f"DECIMAL(37,{digits})" if digits else "BIGINT"
-    return f"CAST(CAST(round(CAST({value} AS DECIMAL(38,10)), {digits}) AS {kind}) AS VARCHAR)"
+    rounded = f"round(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits})"
+    return f"CAST(CAST({rounded} AS {kind}) AS VARCHAR)"
 
 
 def moment(as_of: str) -> str:
@@ -69,10 +71,8 @@ def pct(c: str, s: str) -> str:
 
 
 def bill(net: str, rate: str, flag: str) -> str:
-    return (
-        f"CAST(round(CAST({net} AS DECIMAL(15,6)) * CAST({rate} AS DECIMAL(15,6)) * "
-        f"CASE WHEN {flag} THEN 0.85 ELSE 1.00 END, 2) AS DOUBLE)"
-    )
+    left = f"(1.0::DOUBLE - CASE WHEN {flag} THEN 15.0::DOUBLE ELSE 0.0::DOUBLE END / 100.0::DOUBLE)"
+    return half_up(f"CAST({net} AS DOUBLE) * CAST({rate} AS DOUBLE) * {left}", 2)
 
 
 def drift(speed: str, batch: str) -> str:
@@ -140,7 +140,8 @@ CTE: dict[str, str] = {
     "tariff_raw": """
     SELECT 'H-' || c AS household_id,
            CASE WHEN v = 1 THEN CAST(base + 1 AS VARCHAR) WHEN (c + d) % 11 = 0 THEN ''
-                WHEN (c + d) % 13 = 0 THEN '-1' ELSE CAST(base AS VARCHAR) END AS raw_rate,
+                WHEN (c + d) % 13 = 0 THEN '-1' WHEN (c + d) % 83 = 5 THEN '1000000000'
+                WHEN (c + d) % 89 = 5 THEN '0.0000004' WHEN (c + d) % 97 = 5 THEN '18.3712345' ELSE CAST(base AS VARCHAR) END AS raw_rate,
            CASE WHEN c % 4 = 1 THEN 'residential_standard' WHEN c % 4 = 2 THEN 'residential_high'
                 WHEN c % 4 = 3 AND d % 10 = 9 THEN 'industrial'
                 ELSE 'residential_low' END AS billing_tier,

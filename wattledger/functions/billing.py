@@ -13,6 +13,8 @@ CURRENT_DAY = "current_day"
 FALLBACK = "fallback_previous_day"
 MISSING = "missing"
 
+PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 
 def renewable_pct(consumption: Column, solar: Column) -> Column:
     """Share of demand met by solar, at most 100; 0 without demand."""
@@ -41,23 +43,17 @@ def subsidy_discount_pct(subsidised: Column, settings: Settings) -> Column:
 
 
 def bill_amount(net: Column, rate: Column, discount_pct: Column) -> Column:
-    """net x rate x (1 - discount), rounded half up to cents.
-
-    The product is formed in decimals that hold every digit, so a bill never depends on binary
-    rounding: 15+15 digits for net and rate plus 6+2 for the remaining percentage fill a
-    decimal(38).
-    """
-    remaining = F.lit(100).cast("decimal(3,0)") - discount_pct.cast("decimal(5,2)")
-    cents = net.cast("decimal(15,6)") * rate.cast("decimal(15,6)") * remaining
-    return F.round(cents, 0).cast("double") / F.lit(100.0)
+    """net x rate x (1 - discount), rounded half up to cents, once; any finite rate is billed."""
+    return half_up(net * rate * (F.lit(1.0) - discount_pct / F.lit(100.0)), 2)
 
 
 def tariff_rate(text: Column) -> Column:
     """Rate text to double; NULL unless it is a finite plain number.
 
-    A cast to double would also take `NaN`, `Infinity` and `5d`; a cast to decimal does not.
+    A cast alone would also take `NaN`, `Infinity` and `5d`, and turn `1e999` into infinity.
     """
-    return text.try_cast("decimal(15,6)").cast("double")
+    number = F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def subsidy_flag(text: Column) -> Column:

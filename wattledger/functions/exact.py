@@ -28,18 +28,14 @@ def exact_sum(value: Column, scale: int) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round half away from zero to `digits` decimals, as a double.
+    """Round half away from zero to `digits` decimals, once.
 
-    The step through ten decimals lets a quotient such as 12.345 (stored a hair below) round as
-    the number it stands for.
+    Spark rounds the shortest decimal text of a double, so 12.345 (stored a hair below) rounds as
+    the number it stands for and 12.34499999996 rounds down.
     """
-    return half_up_decimal(value, digits).cast("double")
-
-
-def half_up_decimal(value: Column, digits: int) -> Column:
-    return F.round(value.cast("decimal(38,10)"), digits)
+    return F.round(value.cast("double"), digits)
 
 
 def fixed_text(value: Column, digits: int) -> Column:
     """Text with exactly `digits` decimals."""
-    return half_up_decimal(value, digits).cast(f"decimal(38,{digits})").cast("string")
+    return half_up(value, digits).cast(f"decimal(38,{digits})").cast("string")

@@ -29,7 +29,3 @@ def zone_stamp(zone: Column, time: Column, settings: Settings) -> Column:
 def zone_of(stamp: Column, settings: Settings) -> Column:
     number = stamp.bitwiseAND(F.lit((1 << _bits(settings)) - 1)).cast("int")
     return F.element_at(_zone_list(settings), number)
-
-
-def time_of(stamp: Column, settings: Settings) -> Column:
-    return F.timestamp_micros(F.shiftright(stamp, _bits(settings)))

@@ -32,13 +32,6 @@ def exact_daily(readings: DataFrame, settings: Settings) -> DataFrame:
     return household_daily(dedup_global(narrow, DAY_COLUMNS), settings)
 
 
-def bill_many_days(
-    readings: DataFrame, tariff_reference: DataFrame, settings: Settings
-) -> DataFrame:
-    """Household-days with their effective tariff, over all days of the input in one plan."""
-    return tariffs.asof_tariff(exact_daily(readings, settings), tariff_reference)
-
-
 class _Run:
     """The stages a run shares, whether it bills one day or many."""
 
@@ -145,7 +138,11 @@ def backfill_days(
     try:
         lake = store.lake(spark, days)
         daily = run.daily(lake)
-        validated = run.tariff_rows(tariff_files.scan_tariff_files(spark, list(ready)))
+        # A day without readings is not run, so its tariffs are not stored and never a fallback.
+        present = F.broadcast(daily.select("sim_day").distinct())
+        extract = tariff_files.scan_tariff_files(spark, list(ready))
+        billed = extract.join(present.select(F.col("sim_day").cast("string")), "sim_day", "left_semi")
+        validated = run.tariff_rows(billed.select(extract.columns))
         reference = run.reference(validated)
         stored = store.tariffs(spark).drop("run_id")
         known = reference.unionByName(_fallback_tariffs(stored, days))

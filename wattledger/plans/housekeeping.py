@@ -25,7 +25,8 @@ def close_day(spark: SparkSession, store: Store, day: int, settings: Settings) -
     if not batches:
         return
     through = max(batches)
-    totals = store.running_totals(spark, settings, [day])
+    # A batch may land while this runs; it is neither folded nor dropped.
+    totals = store.running_totals(spark, settings, [day], through)
     stamped = totals.withColumn("through_batch", F.lit(through).cast("long"))
     staged = f"{store.closed_totals_path}_staged"
     replace_partitions(stamped, staged, ("sim_day",))
@@ -37,14 +38,19 @@ def close_day(spark: SparkSession, store: Store, day: int, settings: Settings) -
 
 
 def expire_live(spark: SparkSession, store: Store, as_of, settings: Settings) -> None:
-    """Drop micro-batches of the live tables that ended before the retention period."""
+    """Drop micro-batches of the live tables that ended before the retention period.
+
+    Batches go in the order of their numbers up to the first that still holds a current row: an
+    older version of a key never outlives a newer one.
+    """
     limit = seconds_before(as_of, settings.retention_seconds)
     for path, schema, time in (
         (store.zone_windows_path, schemas.ZONE_WINDOW, "window_start"),
         (store.quality_path, schemas.STREAM_QUALITY, "recorded_at"),
     ):
         rows = store.read(spark, path, schema)
-        newest = rows.groupBy("batch_id").agg(F.max(time).alias("newest"))
+        first = rows.where(F.col(time) >= limit).agg(F.min("batch_id")).first()[0]
         folder = Folder(spark, path)
-        for batch in newest.where(F.col("newest") < limit).select("batch_id").collect():
-            folder.drop(f"batch_id={batch.batch_id}")
+        for name in folder.names("batch_id=*"):
+            if first is None or int(name.partition("=")[2]) < first:
+                folder.drop(name)

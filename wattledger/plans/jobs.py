@@ -88,8 +88,10 @@ def _backfill(spark: SparkSession, store: Store, settings: Settings, folder: str
     today = int((now - settings.epoch_seconds) // settings.day_seconds)
     recent = range(max(0, today - settings.pending_lookback_days), today)
     lake_days = store.lake(spark, recent).select("sim_day").distinct()
-    pending = pending_days(spark, lake_days, store.reconciliation(spark), today, settings)
-    ready = scan_ready_days(spark, folder).join(pending, "sim_day", "left_semi")
+    # A day whose tariff file was all invalid has a reconciliation but no bills: it stays pending.
+    billed = store.bills(spark, recent).select("sim_day").distinct()
+    pending = {r.sim_day for r in pending_days(spark, lake_days, billed, today, settings).collect()}
+    ready = scan_ready_days(spark, folder, pending)
     chosen = sorted((row.sim_day, row.path) for row in ready.collect())
     if chosen:
         backfill_days(spark, store, chosen, uuid.uuid4().hex[:12], settings)

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructField, StructType
 from wattledger import schemas
 from wattledger.operators import alerts, consumption, reconciliation
 from wattledger.settings import Settings
-from wattledger.sources.files import partition_folders
+from wattledger.sources.files import Folder, partition_folders
 from wattledger.sources.tables import scan_table
 
 ALERT_CHANGE = StructType(
@@ -102,6 +102,12 @@ class Store:
     def checkpoint_path(self, query: str) -> str:
         return self._path(f"_checkpoints/{query}")
 
+    def holds_batches(self, spark: SparkSession) -> bool:
+        """Whether any micro-batch has been written."""
+        folder = Folder(spark, self.root)
+        logs = ("zone_windows", "stream_quality")
+        return any(folder.names(f"{name}/batch_id=*") for name in logs)
+
     def read(
         self,
         spark: SparkSession,
@@ -147,10 +153,19 @@ class Store:
         return consumption.zone_window_view(log)
 
     def running_totals(
-        self, spark: SparkSession, settings: Settings, days: Sequence[int] | None = None
+        self,
+        spark: SparkSession,
+        settings: Settings,
+        days: Sequence[int] | None = None,
+        through: int | None = None,
     ) -> DataFrame:
-        """Running totals: what a day's compact form holds plus the partials after it."""
+        """Running totals: what a day's compact form holds plus the partials after it.
+
+        `through` leaves out later micro-batches.
+        """
         partials = self.read_days(spark, self.partial_totals_path, schemas.RUNNING_TOTAL, days)
+        if through is not None:
+            partials = partials.where(F.col("batch_id") <= through)
         closed = self.read_days(spark, self.closed_totals_path, CLOSED_TOTAL, days)
         folded = closed.select("sim_day", "through_batch").distinct()
         later = partials.join(folded, "sim_day", "left").where(
@@ -199,6 +214,12 @@ class Store:
     def bills(self, spark: SparkSession, days: Sequence[int] | None = None) -> DataFrame:
         return self._committed(spark, self.bills_path, schemas.BILL, days)
 
+    def newest_bills(self, spark: SparkSession) -> DataFrame:
+        """Bills of the newest billed day; the small reconciliation table says which it is."""
+        billed = self.reconciliation(spark).where("households_billed > 0")
+        day = billed.agg(F.max("sim_day")).first()[0]
+        return self.bills(spark, [] if day is None else [day])
+
     def unbilled(self, spark: SparkSession) -> DataFrame:
         return self._committed(spark, self.unbilled_path, UNBILLED)
 

@@ -20,10 +20,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only where that setting is absent (local tests) a temporary folder takes its place, since on
-    a cluster a machine-local path would be invisible to the other executors.
+    A session with a local master (tests) may do without the setting and gets a temporary folder;
+    on a cluster a machine-local path would be invisible to the other executors, so it is an error.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="wattledger-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
+# Columns of the report, in its order.
 REPORT_COLUMNS = (
     "household_id",
     "grid_zone",

@@ -34,6 +34,11 @@ class Folder:
         finally:
             stream.close()
 
+    def mark(self, name: str) -> bool:
+        """Make an empty folder; False if it was there already."""
+        path = self._hadoop.Path(self._root, name)
+        return not self._fs.exists(path) and self._fs.mkdirs(path)
+
     def drop(self, name: str) -> None:
         self._fs.delete(self._hadoop.Path(self._root, name), True)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,13 @@ def scan_tariff_csv(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("header", True).schema(TARIFF_EXTRACT).csv(list(paths))
 
 
-def scan_ready_days(spark: SparkSession, folder: str) -> DataFrame:
+def scan_ready_days(
+    spark: SparkSession, folder: str, days: Collection[int] | None = None
+) -> DataFrame:
     """Days (sim_day, path) whose marker exists and names an existing file.
 
+    With `days`, only their markers are opened; others may be as old as the folder.
+
     Spark's file readers skip names that start with an underscore, so the markers are read through
     the Hadoop file system the session is already connected to: one listing and one short file
     per day, never any tariff row.
@@ -29,7 +34,7 @@ def scan_ready_days(spark: SparkSession, folder: str) -> DataFrame:
     ready = []
     for marker in files.names(f"{MARKER}*"):
         day = marker.removeprefix(MARKER)
-        if not day.isdigit():
+        if not day.isdigit() or (days is not None and int(day) not in days):
             continue
         name = files.text(marker).strip()
         if name and files.exists(name):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,6 +29,7 @@ from wattledger.operators.readings import (
 from wattledger.plans.store import Store
 from wattledger.settings import Settings
 from wattledger.sinks import tables as sinks
+from wattledger.sources.files import Folder
 
 Clock = Callable[[], datetime]
 
@@ -37,6 +38,31 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+#: Micro-batches that one checkpoint may count before its numbers reach those of the next.
+GENERATION_BATCHES = 1 << 40
+
+
+def batch_offset(spark: SparkSession, store: Store, query: str) -> int:
+    """What is added to the batch numbers of a query's present checkpoint.
+
+    A new checkpoint counts from 0 again. Its generation, kept inside the checkpoint and in a list
+    beside the tables, puts its batches after all earlier ones, so that no partition of another
+    checkpoint is replaced and the newest version of a key has the highest number. A checkpoint
+    from before the list has generation 0.
+    """
+    folder = Folder(spark, store.root)
+    own, listed = f"_checkpoints/{query}/generation=", f"_generations/{query}="
+    marks = [int(n.partition("=")[2]) for n in folder.names(f"{own}*")]
+    if marks:
+        return max(marks) * GENERATION_BATCHES
+    known = [int(n.partition("=")[2]) for n in folder.names(f"{listed}*")]
+    running = folder.exists(f"_checkpoints/{query}/offsets")
+    generation = max(known, default=0 if running else int(store.holds_batches(spark)) - 1) + (not running)
+    folder.mark(f"{listed}{generation}")
+    folder.mark(f"{own}{generation}")
+    return generation * GENERATION_BATCHES
+
+
 def _started(writer, checkpoint: str, settings: Settings, available_now: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
@@ -69,8 +95,11 @@ def start_zone_windows(
 ) -> StreamingQuery:
     """Keep the zone windows of the store current; every micro-batch writes what it changed."""
 
+    offset = batch_offset(readings.sparkSession, store, "zone_windows")
+
     def write(windows: DataFrame, batch_id: int) -> None:
-        sinks.upsert_zone_windows(windows, store.zone_windows_path, batch_id, instant(now()))
+        number = offset + batch_id
+        sinks.upsert_zone_windows(windows, store.zone_windows_path, number, instant(now()))
 
     windows = stream_zone_windows(readings, settings, dedup_within_watermark)
     writer = windows.writeStream.outputMode("update").foreachBatch(write)
@@ -136,8 +165,10 @@ def start_lake(
 ) -> StreamingQuery:
     """Store every reading, late ones included: lake, quarantine, running totals and quality."""
 
+    offset = batch_offset(readings.sparkSession, store, "raw_lake")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_lake_batch(batch, batch_id, store, settings, now)
+        write_lake_batch(batch, offset + batch_id, store, settings, now)
 
     writer = readings.writeStream.foreachBatch(write).queryName("raw_lake")
     return _started(writer, store.checkpoint_path("raw_lake"), settings, available_now)
