@@ -11,6 +11,7 @@ from wattledger.llm import (
     katz,
     line_crf,
     mixing,
+    oracle,
     quality_rules,
     secret_scan,
     simhash,
@@ -79,4 +80,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracle.SQL)
