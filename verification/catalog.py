@@ -531,7 +531,8 @@ register(
 register(
     "join_tariff_previous",
     lambda s, d: tariffs.join_tariff_previous(
-        stored_daily(s, d), tariffs.previous_tariffs(given.stored_tariffs(s, d), CURRENT_DAY)
+        stored_daily(s, d).where(F.col("sim_day") == CURRENT_DAY),
+        tariffs.previous_tariffs(given.stored_tariffs(s, d), CURRENT_DAY),
     ),
     f"""
     SELECT d.*, p.sim_day AS prev_sim_day, p.tariff_rate AS prev_tariff_rate,
@@ -539,7 +540,8 @@ register(
     FROM daily d LEFT JOIN (
         SELECT * FROM tariff_ref WHERE sim_day < {CURRENT_DAY}
         QUALIFY row_number() OVER (PARTITION BY household_id ORDER BY sim_day DESC) = 1) p
-      ON d.household_id = p.household_id""",
+      ON d.household_id = p.household_id
+    WHERE d.sim_day = {CURRENT_DAY}""",
 )
 register(
     "asof_tariff",
@@ -1233,16 +1235,19 @@ register(
     f"SELECT {RECON} FROM recon ORDER BY sim_day DESC LIMIT 10",
 )
 NET = "CAST(CAST(r.consumption_kwh AS DECIMAL(18,6)) - CAST(r.solar_kwh AS DECIMAL(18,6)) AS DECIMAL(18,6))"
-register(
-    "view_billing_projection",
-    lambda s, d: views.view_billing_projection(
+
+
+def projection(s, d):
+    return views.view_billing_projection(
         given.stored_running(s, d),
         given.stored_tariffs(s, d).where(F.col("sim_day") < CURRENT_DAY),
         stored_bills(s, d).where(F.col("sim_day") < CURRENT_DAY),
         AS_OF,
         SETTINGS,
-    ),
-    f"""
+    )
+
+
+PROJECTION = f"""
     SELECT r.household_id, r.grid_zone, r.consumption_kwh, r.solar_kwh, r.reading_count,
            t.tariff_rate, t.billing_tier, t.subsidy_flag, t.tariff_sim_day, b.last_final_bill,
            b.last_final_sim_day,
@@ -1257,7 +1262,13 @@ register(
       ON r.household_id = t.household_id
     LEFT JOIN ({LATEST_BILL.replace('FROM bill', f'FROM bill WHERE sim_day < {CURRENT_DAY}')}) b
       ON r.household_id = b.household_id
-    WHERE r.sim_day = {CURRENT_DAY}""",
+    WHERE r.sim_day = {CURRENT_DAY}"""
+register("view_billing_projection", projection, PROJECTION)
+register(
+    "provisional_total",
+    lambda s, d: bills.billed_total(projection(s, d), "provisional_bill_so_far", "total_provisional"),
+    "SELECT count(*) AS rows, coalesce(CAST(sum(CAST(provisional_bill_so_far AS DECIMAL(18,2))) AS DOUBLE), 0) "
+    f"AS total_provisional FROM ({PROJECTION})",
 )
 register(
     "view_alerts",
@@ -1324,19 +1335,46 @@ register(
     ).select("household_id", "sim_day", "expected_amount"),
     "SELECT household_id, sim_day, bill_amount AS expected_amount FROM bill WHERE sim_day % 2 = 1",
 )
+
+
+def busiest_windows(s, d):
+    """The windows with the most events; most zones have none of them."""
+    windows = given.stored_windows(s, d)
+    most = windows.agg(F.max("event_count").alias("event_count"))
+    return windows.join(most, "event_count", "left_semi")
+
+
 register(
     "audit_zone_coverage",
-    lambda s, d: audit.audit_zone_coverage(
-        s, given.stored_windows(s, d).where(F.col("event_count") > F.lit(10**9)), SETTINGS
-    ),
+    lambda s, d: audit.audit_zone_coverage(s, busiest_windows(s, d), SETTINGS),
     f"SELECT grid_zone FROM (VALUES {oracle.ZONES}) z(grid_zone) WHERE grid_zone NOT IN "
-    "(SELECT grid_zone FROM zone_window WHERE event_count > 1000000000)",
+    "(SELECT grid_zone FROM zone_window WHERE event_count = (SELECT max(event_count) FROM zone_window))",
 )
 register(
     "audit_quarantine",
-    lambda s, d: audit.audit_quarantine(given.graded(s, d)),
+    lambda s, d: audit.audit_quarantine(runs.lake_store(s, d).quarantine(s)),
     "SELECT invalid_reason, CAST(sum(events) AS BIGINT) AS events FROM reason GROUP BY 1",
 )
+
+
+def quarantine_with_loss(s, d):
+    """The audit of a quarantine table that has lost one of its reasons."""
+    store = runs.lake_store(s, d)
+    left = store.quarantine(s).where("invalid_reason <> 'unknown_zone'")
+    return audit.audit_lost_quarantine(left, store.quality(s)).select(
+        F.col("batch_id").cast("int").alias("batch_id"), "invalid_events", "quarantined"
+    )
+
+
+register(
+    "audit_lost_quarantine",
+    quarantine_with_loss,
+    f"""
+    SELECT batch_id, count(*) AS invalid_events,
+           count(*) FILTER (invalid_reason <> 'unknown_zone') AS quarantined
+    FROM (SELECT {BATCH}, invalid_reason FROM graded WHERE invalid_reason IS NOT NULL) GROUP BY 1
+    HAVING count(*) FILTER (invalid_reason = 'unknown_zone') > 0""",
+)
 register(
     "backfill_days",
     lambda s, d: runs.billed_store(s, d).bills(s).select(*bills.BILL_COLUMNS),

@@ -29,6 +29,18 @@ def audit_zone_coverage(spark: SparkSession, latest: DataFrame, settings: Settin
     return expected.join(latest.select("grid_zone"), "grid_zone", "left_anti")
 
 
-def audit_quarantine(graded: DataFrame) -> DataFrame:
-    """How many events each reason caught."""
-    return invalid_by_reason(graded)
+def audit_quarantine(quarantine: DataFrame) -> DataFrame:
+    """How many events each reason caught, from the quarantine table."""
+    return invalid_by_reason(quarantine)
+
+
+def audit_lost_quarantine(quarantine: DataFrame, quality: DataFrame) -> DataFrame:
+    """Micro-batches whose quarantined rows are not as many as their quality row says."""
+    held = quarantine.groupBy("batch_id").agg(F.count(F.lit(1)).alias("held"))
+    said = quality.groupBy("batch_id").agg(F.sum("invalid_events").alias("invalid_events"))
+    compared = said.join(held, "batch_id", "full").select(
+        "batch_id",
+        F.coalesce("invalid_events", F.lit(0)).alias("invalid_events"),
+        F.coalesce("held", F.lit(0)).alias("quarantined"),
+    )
+    return compared.where("invalid_events <> quarantined")
