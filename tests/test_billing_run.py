@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import EPOCH, SETTINGS, at, messages, reading, values
+from wattledger.operators import alerts as alert_ops
 from wattledger.operators import bills as bill_ops
 from wattledger.operators import readings
 from wattledger.plans import alert_pass, housekeeping, jobs, report
@@ -362,3 +363,27 @@ def test_work_folder_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     if spark.conf.get(session.CHECKPOINT_DIR, None) is None:
         with pytest.raises(ValueError, match="share"):
             session.work_folder(Cluster, "x")
+
+
+def test_a_failed_run_raises_its_alert(spark, store, drop):
+    with pytest.raises(lake_source.EmptyDayError):
+        run_day(spark, store, 9, str(drop / "tariff_simday0.csv"), "r9", SETTINGS, clock)
+    run_day(spark, store, 0, str(drop / "tariff_simday0.csv"), "r0", SETTINGS, clock)
+    assert values(store.run_log(spark), "task_id", "sim_day", "state") == [
+        ("bill_day", 0, "success"), ("bill_day", 9, "failed"),
+    ]
+    alert_pass.run_alert_pass(spark, store, at(5100), 1, SETTINGS)
+    failed = store.alerts(spark).where("alert_type = 'PIPELINE_TASK_FAILED' AND NOT resolved")
+    assert values(failed, "scope") == [("billing.bill_day",)]
+
+
+def test_stored_gauge_samples_feed_the_monitor(spark, store, drop):
+    run_day(spark, store, 0, str(drop / "tariff_simday0.csv"), "r0", SETTINGS, clock)
+    for seconds in (100_000, 100_060, 100_120):
+        alert_pass.sample_gauges(spark, store, at(seconds), SETTINGS)
+    samples = store.gauge_samples(spark, at(100_000))
+    assert samples.select("sampled_at").distinct().count() == 3
+    found = alert_ops.monitor_alerts(samples, SETTINGS)
+    stale = found.where("alert = 'PipelineComponentStale'")
+    assert ("batch_layer", 120.0) in values(stale, "label", "held_seconds")
+    assert store.gauge_samples(spark, at(200_000)).isEmpty()

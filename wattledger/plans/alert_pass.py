@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.functions.clock import instant
-from wattledger.operators import alerts
+from wattledger.operators import alerts, health
 from wattledger.plans.store import ALERT_CHANGE, Store
 from wattledger.settings import Settings
 from wattledger.sinks import tables as sinks
@@ -61,3 +61,18 @@ def run_alert_pass(
     )
     sinks.upsert_heartbeat(beat, store.heartbeats_path)
     return store.read(spark, store.alerts_path, ALERT_CHANGE, F.col("pass_id") == pass_id)
+
+
+def sample_gauges(spark: SparkSession, store: Store, as_of, settings: Settings) -> None:
+    """Store the gauges of this moment; `monitor_alerts` finds spells among the samples."""
+    gauges = health.pipeline_gauges(
+        spark,
+        store.heartbeats(spark),
+        store.zone_windows(spark),
+        store.alerts(spark),
+        store.quality(spark),
+        store.reconciliation(spark),
+        as_of,
+        settings,
+    )
+    sinks.append_gauge_samples(gauges, store.gauge_samples_path, instant(as_of))

@@ -91,6 +91,20 @@ def _beat(spark, store: Store, detail, status: str, now: Clock) -> None:
     sinks.upsert_heartbeat(row, store.heartbeats_path)
 
 
+def _log(spark, store: Store, task: str, days: Sequence[int], error: str | None, now: Clock) -> None:
+    """The outcome of a step for each of its days; `rule_task_failed` reads it."""
+    state, text = ("success", None) if error is None else ("failed", error[:500])
+    rows = spark.range(1).select(
+        F.lit("billing").alias("dag_id"),
+        F.lit(task).alias("task_id"),
+        F.explode(F.array(*map(F.lit, days))).alias("sim_day"),
+        F.lit(state).alias("state"),
+        F.lit(text).cast("string").alias("error"),
+        instant(now()).alias("finished_at"),
+    )
+    sinks.append_run_log(rows, store.run_log_path)
+
+
 def run_day(
     spark: SparkSession,
     store: Store,
@@ -115,8 +129,10 @@ def run_day(
         enriched = tariffs.with_effective_tariff(joined)
         run.finish(enriched, lake, daily, validated, reference, now)
     except Exception as error:
+        _log(spark, store, "bill_day", [day], str(error), now)
         _beat(spark, store, f"FAILED sim_day={day}: {error}", "FAILED", now)
         raise
+    _log(spark, store, "bill_day", [day], None, now)
     _beat(spark, store, f"sim_day={day} run_id={run_id}", "OK", now)
 
 
@@ -149,8 +165,10 @@ def backfill_days(
         enriched = tariffs.asof_tariff(daily, known)
         run.finish(enriched, lake, daily, validated, reference, now)
     except Exception as error:
+        _log(spark, store, "backfill_days", days, str(error), now)
         _beat(spark, store, f"FAILED days={days}: {error}", "FAILED", now)
         raise
+    _log(spark, store, "backfill_days", days, None, now)
     _beat(spark, store, f"days={days} run_id={run_id}", "OK", now)
 
 

@@ -4,6 +4,7 @@ spark-submit wattledger/plans/jobs.py speed --store ROOT --topic T --source-opti
 spark-submit wattledger/plans/jobs.py bill-day --store ROOT --sim-day 3 --tariff-file F
 spark-submit wattledger/plans/jobs.py backfill --store ROOT --tariff-folder DIR
 spark-submit wattledger/plans/jobs.py alerts --store ROOT --pass-id 7
+spark-submit wattledger/plans/jobs.py sample-gauges --store ROOT
 spark-submit wattledger/plans/jobs.py report --store ROOT --sim-day 3 --out DIR
 spark-submit wattledger/plans/jobs.py close-day --store ROOT --sim-day 3
 spark-submit wattledger/plans/jobs.py expire --store ROOT
@@ -18,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from wattledger.operators.readings import decode_readings
 from wattledger.operators.reconciliation import pending_days
-from wattledger.plans.alert_pass import run_alert_pass
+from wattledger.plans.alert_pass import run_alert_pass, sample_gauges
 from wattledger.plans.billing_run import backfill_days, run_day
 from wattledger.plans.housekeeping import close_day, expire_live
 from wattledger.plans.report import write_report
@@ -37,7 +38,8 @@ def _pairs(items: list[str]) -> dict[str, str]:
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("speed", "bill-day", "backfill", "alerts", "report", "close-day", "expire"):
+    names = ("speed", "bill-day", "backfill", "alerts", "sample-gauges", "report", "close-day", "expire")
+    for name in names:
         job = jobs.add_parser(name)
         job.add_argument("--store", required=True)
         job.add_argument("--set", action="append", default=[], metavar="SETTING=VALUE")
@@ -111,6 +113,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         _backfill(spark, store, settings, args.tariff_folder)
     elif args.job == "alerts":
         run_alert_pass(spark, store, utc_now(), args.pass_id, settings)
+    elif args.job == "sample-gauges":
+        sample_gauges(spark, store, utc_now(), settings)
     elif args.job == "close-day":
         close_day(spark, store, args.sim_day, settings)
     elif args.job == "expire":

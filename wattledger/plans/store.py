@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from wattledger import schemas
+from wattledger.functions.clock import instant
 from wattledger.operators import alerts, consumption, reconciliation
 from wattledger.settings import Settings
 from wattledger.sources.files import Folder, partition_folders
@@ -27,6 +28,9 @@ CLOSED_TOTAL = schemas.columns(
     "household_id string, grid_zone string, consumption_kwh double, solar_kwh double, "
     "reading_count bigint, last_event_time timestamp, through_batch bigint, sim_day int"
 )
+GAUGE_SAMPLE = schemas.columns(
+    "name string, label string, value double, sampled_at timestamp, sampled_on date"
+)
 UNBILLED = schemas.columns("household_id string, sim_day int, run_id string")
 
 
@@ -99,6 +103,10 @@ class Store:
     def run_log_path(self) -> str:
         return self._path("run_log")
 
+    @property
+    def gauge_samples_path(self) -> str:
+        return self._path("gauge_samples")
+
     def checkpoint_path(self, query: str) -> str:
         return self._path(f"_checkpoints/{query}")
 
@@ -191,6 +199,12 @@ class Store:
     def run_log(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.run_log_path, schemas.RUN_LOG)
 
+    def gauge_samples(self, spark: SparkSession, since=None) -> DataFrame:
+        """Stored gauge samples; with `since` only the folders from that date on are read."""
+        where = None if since is None else F.col("sampled_on") >= F.to_date(instant(since))
+        rows = self.read(spark, self.gauge_samples_path, GAUGE_SAMPLE, where)
+        return rows.drop("sampled_on")
+
     def reconciliation(self, spark: SparkSession) -> DataFrame:
         log = self.read(spark, self.reconciliation_path, schemas.RECONCILIATION)
         return reconciliation.latest_reconciliation(log)

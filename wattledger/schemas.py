@@ -4,6 +4,7 @@ from pyspark.sql.types import (
     BinaryType,
     BooleanType,
     DataType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -16,6 +17,7 @@ from pyspark.sql.types import (
 _TYPES: dict[str, DataType] = {
     "binary": BinaryType(),
     "boolean": BooleanType(),
+    "date": DateType(),
     "double": DoubleType(),
     "int": IntegerType(),
     "bigint": LongType(),

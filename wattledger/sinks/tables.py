@@ -77,6 +77,18 @@ def upsert_heartbeat(heartbeats: DataFrame, path: str) -> None:
     replace_partitions(heartbeats, path, ("component",), balance=False)
 
 
+def append_run_log(runs: DataFrame, path: str) -> None:
+    """Finished step runs (dag_id, task_id, sim_day, state, error, finished_at)."""
+    runs.coalesce(1).write.mode("append").parquet(path)
+
+
+def append_gauge_samples(gauges: DataFrame, path: str, sampled_at) -> None:
+    """Gauge values (name, label, value) with the time they were taken, by date."""
+    stamped = gauges.withColumn("sampled_at", sampled_at)
+    dated = stamped.withColumn("sampled_on", F.to_date("sampled_at"))
+    dated.coalesce(1).write.mode("append").partitionBy("sampled_on").parquet(path)
+
+
 def replace_day(rows: DataFrame, path: str, run_id: str) -> None:
     """A run's output of its days, not visible before the run is committed.
 
