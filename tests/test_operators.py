@@ -306,9 +306,10 @@ def test_rules(spark):
         got = alerts.rule_low_renewable(frame(spark, ZONE, window), at(290), SETTINGS).first()
         assert got.breached is breached
 
-    none = frame(spark, "t timestamp", (at(10),))
-    assert alerts.rule_no_events(none, "t", at(131)).first().breached
-    assert not alerts.rule_no_events(none, "t", at(129)).first().breached
+    arrived = frame(spark, "recorded_at timestamp, total_events bigint", (at(10), 3), (at(100), 0))
+    assert alerts.rule_no_events(arrived, at(131)).first().breached
+    assert not alerts.rule_no_events(arrived, at(129)).first().breached
+    assert alerts.rule_no_events(arrived.limit(0), at(129)).first().breached
 
 
 def test_quality_rules_without_rows(spark):

@@ -1097,14 +1097,14 @@ register(
 )
 register(
     "rule_no_events",
-    lambda s, d: alerts.rule_no_events(given.typed(s, d), "event_time", AS_OF),
+    lambda s, d: alerts.rule_no_events(given.stored_quality(s, d), AS_OF, 7200.0),
     f"""
     SELECT 'NO_METER_EVENTS' AS alert_type, 'meter_producer' AS scope, 'CRITICAL' AS severity,
-           'Streaming source delivered no events in the last 2 minutes' AS message,
-           CAST(count(*) AS DOUBLE) AS metric_value, 0.0::DOUBLE AS threshold,
-           count(*) = 0 AS breached
-    FROM reading WHERE event_time > {moment(AS_OF)} - INTERVAL 2 MINUTE
-      AND event_time <= {moment(AS_OF)}""",
+           'Streaming source delivered no events in the last 120 minutes' AS message,
+           CAST(coalesce(sum(total_events), 0) AS DOUBLE) AS metric_value, 0.0::DOUBLE AS threshold,
+           coalesce(sum(total_events), 0) = 0 AS breached
+    FROM quality WHERE recorded_at > {moment(AS_OF)} - INTERVAL 2 HOUR
+      AND recorded_at <= {moment(AS_OF)}""",
 )
 
 

@@ -236,12 +236,15 @@ def rule_task_failed(run_log: DataFrame, as_of) -> DataFrame:
     )
 
 
-def rule_no_events(arrivals: DataFrame, time: str, as_of, seconds: float = 120.0) -> DataFrame:
-    """No reading arrived within the last `seconds`."""
-    recent = arrivals.where(
-        (F.col(time) > seconds_before(as_of, seconds)) & (F.col(time) <= instant(as_of))
-    )
-    counted = recent.agg(F.count(F.lit(1)).alias("events"))
+def rule_no_events(quality: DataFrame, as_of, seconds: float = 120.0) -> DataFrame:
+    """No reading arrived within the last `seconds`.
+
+    Quality rows tell arrivals by the time of their micro-batch. Event times would take a burst of
+    late readings for silence, and a reading ahead of the clock for life.
+    """
+    time = F.col("recorded_at")
+    recent = quality.where((time > seconds_before(as_of, seconds)) & (time <= instant(as_of)))
+    counted = recent.agg(F.coalesce(F.sum("total_events"), F.lit(0)).alias("events"))
     message = F.lit(
         f"Streaming source delivered no events in the last {seconds / 60:g} minutes"
     )
