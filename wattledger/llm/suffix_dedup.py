@@ -40,6 +40,10 @@ LENGTH = 50
 KMER = 20
 #: Most strings that start in one piece; a longer run of the same smallest hash is cut.
 PIECE_STARTS = LENGTH - KMER + 2
+#: Strings whose hashes are worked on at once.
+STRETCH = 1 << 16
+#: Lengths of pieces that share a collection.
+COLLECTION_STEP = 5
 #: Text bytes that a task works on at once, and per block of hashes.
 BATCH_BYTES = 8 << 20
 BLOCK_BYTES = 12 << 20
@@ -78,25 +82,38 @@ def window_minima(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - n)], x[width - n :]) if width > n else x
 
 
+def least_hashes(data: np.ndarray) -> np.ndarray:
+    """Smallest k-mer hash of every string of LENGTH bytes, in stretches that fit a processor's cache."""
+    out = np.empty(max(0, len(data) - LENGTH + 1), np.uint64)
+    for s in range(0, len(out), STRETCH):
+        part = data[s : s + STRETCH + LENGTH - 1]
+        out[s : s + STRETCH] = window_minima(kmer_hashes(part), LENGTH - KMER + 1)
+    return out
+
+
 def pieces(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """hash, document number, first start and number of starts of every piece of the joined texts."""
-    none = np.zeros(0, np.int64)
-    if len(data) < LENGTH:
-        return none.astype(np.uint64), none, none, none
-    least = window_minima(kmer_hashes(data), LENGTH - KMER + 1)
-    ends = np.cumsum(lengths)
-    doc = np.repeat(np.arange(len(lengths)), lengths)[: len(least)]
-    whole = np.arange(len(least)) + LENGTH <= ends[doc]
+    """hash, document number, first start and number of starts of every piece of the joined texts.
+
+    Every text has LENGTH bytes at least.
+    """
+    least = least_hashes(data)
+    begins = np.cumsum(lengths) - lengths
+    ends = begins + lengths - LENGTH + 1
+    edge = np.zeros(len(least) + 1, np.int8)
+    edge[begins] += 1
+    np.subtract.at(edge, ends, 1)
+    inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
     breaks = np.ones(len(least), bool)
-    breaks[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
-    start = np.flatnonzero(breaks & whole)
-    edges = np.append(np.flatnonzero(breaks | ~whole), len(least))
-    n = edges[np.searchsorted(edges, start, side="right")] - start
+    np.not_equal(least[1:], least[:-1], out=breaks[1:])
+    breaks[begins] = True
+    start = np.flatnonzero(breaks & inside)
+    doc = np.searchsorted(begins, start, side="right") - 1
+    n = np.minimum(np.append(start[1:], len(least)), ends[doc]) - start
     parts = -(-n // PIECE_STARTS)
     again = np.repeat(np.arange(len(start)), parts)
     part = np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)
     start, n = start[again] + part * PIECE_STARTS, n[again] - part * PIECE_STARTS
-    return least[start], doc[start], start, np.minimum(n, PIECE_STARTS)
+    return least[start], doc[again], start, np.minimum(n, PIECE_STARTS)
 
 
 class ColumnwiseIndex:
@@ -105,7 +122,7 @@ class ColumnwiseIndex:
     After round t every suffix of up to t symbols is in order. `symbol` is the transform: the
     symbol before each suffix (0 at the start of a string, else byte + 1). `common` is the common
     prefix of a suffix with the one before it, `owner` and `length` name the suffix. Equal
-    suffixes are in the order of their strings.
+    suffixes are in the order of their strings. Strings have at most 255 symbols.
     """
 
     def __init__(self, data: np.ndarray, lengths: np.ndarray):
@@ -115,13 +132,13 @@ class ColumnwiseIndex:
         self._data = np.append(data.astype(kind) + kind(1), kind(0))
         m = len(lengths)
         self.symbol = self._before(np.arange(m), 0)
-        self.common = np.zeros(m, np.int16)
+        self.common = np.zeros(m, np.uint8)
         # Owner and length of a suffix in one number: they move together.
-        self._name = np.arange(m, dtype=np.int64) << 16
-        self._place = np.arange(m)
+        self._name = np.arange(m, dtype=np.int32 if m < 1 << 23 else np.int64) << 8
+        self._newest = np.arange(m)
         for t in range(1, int(lengths.max(initial=0)) + 1):
             self._insert(t)
-        self.owner, self.length = self._name >> 16, self._name & 0xFFFF
+        self.owner, self.length = self._name.astype(np.int64) >> 8, self._name.astype(np.int64) & 255
 
     def _before(self, strings: np.ndarray, t: int) -> np.ndarray:
         """The symbol before the suffix of t symbols."""
@@ -129,32 +146,32 @@ class ColumnwiseIndex:
         return self._data[np.where(inside, self._ends[strings] - t - 1, -1)]
 
     def _insert(self, t: int) -> None:
-        active = np.flatnonzero(self._lengths >= t)
-        at = self._place[active]
         # Sorting the transform stably maps each suffix to the one that its symbol extends it to.
         order = np.argsort(self.symbol, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        ended = len(self.symbol) - int(np.count_nonzero(self.symbol))
-        near = rank[at]
+        n, ended = len(order), len(self.symbol) - int(np.count_nonzero(self.symbol))
+        going = np.zeros(n, bool)
+        going[self._newest] = self.symbol[self._newest] != 0
+        near = np.flatnonzero(going[order])
+        at = order[near]
+        strings = self._name[at] >> 8
         new = near - ended + len(self._lengths)
         c = self.symbol[at]
         before = order[near - 1]
-        after_rank = np.minimum(near + 1, len(order) - 1)
-        after = order[after_rank]
+        next_rank = np.minimum(near + 1, n - 1)
+        after = order[next_rank]
         has_before = (near > 0) & (self.symbol[before] == c)
-        has_after = (after_rank > near) & (self.symbol[after] == c)
+        has_after = (next_rank > near) & (self.symbol[after] == c)
         shared = RangeMinima(self.common)
-        front = np.zeros(len(at), np.int16)
-        front[has_before] = 1 + shared.between(before[has_before] + 1, at[has_before])
-        behind = 1 + shared.between(at[has_after] + 1, after[has_after])
-        kept = np.ones(len(order) + len(at), bool)
+        front = np.zeros(len(at), np.uint8)
+        front[has_before] = shared.between(before[has_before] + 1, at[has_before]) + np.uint8(1)
+        behind = shared.between(at[has_after] + 1, after[has_after]) + np.uint8(1)
+        kept = np.ones(n + len(at), bool)
         kept[new] = False
-        self.symbol = self._merged(kept, new, self.symbol, self._before(active, t))
-        self._name = self._merged(kept, new, self._name, active << 16 | t)
+        self.symbol = self._merged(kept, new, self.symbol, self._before(strings, t))
+        self._name = self._merged(kept, new, self._name, strings << 8 | t)
         self.common = self._merged(kept, new, self.common, front)
         self.common[new[has_after] + 1] = behind
-        self._place[active] = new
+        self._newest = new
 
     @staticmethod
     def _merged(kept: np.ndarray, new: np.ndarray, old: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -165,16 +182,18 @@ class ColumnwiseIndex:
 
 
 class RangeMinima:
-    """Minima of ranges of an array: minima of groups of 8 in doubling tables, ends looked at singly."""
+    """Minima of ranges: doubling tables over groups of 4, a group's worth at each end singly."""
 
-    GROUP = 8
+    GROUP = 4
 
     def __init__(self, x: np.ndarray):
-        fill = np.iinfo(x.dtype).max
         groups = -(-len(x) // self.GROUP) + 1
-        self._x = np.full(groups * self.GROUP, fill, x.dtype)
+        self._x = np.full(groups * self.GROUP, np.iinfo(x.dtype).max, x.dtype)
         self._x[: len(x)] = x
-        self._tables = [self._x.reshape(-1, self.GROUP).min(axis=1)]
+        table, width = self._x, 1
+        while width < self.GROUP:
+            table, width = np.minimum(table[::2], table[1::2]), 2 * width
+        self._tables = [table]
         n = 1
         while 2 * n <= groups:
             last = self._tables[-1]
@@ -185,27 +204,23 @@ class RangeMinima:
         """Minimum over first..last, both included; no range is empty."""
         if not len(first):
             return np.zeros(0, self._x.dtype)
-        g = self.GROUP
-        steps = np.arange(g)
-        out = np.full(len(first), np.iinfo(self._x.dtype).max, self._x.dtype)
-        width = last - first + 1
-        for at in range(0, len(first), 1 << 15):
-            part = slice(at, at + (1 << 15))
-            f, w = first[part], width[part]
-            # Up to a group from the front and up to a group to the back.
-            head = self._x[f[:, None] + np.minimum(steps, np.minimum(w, g)[:, None] - 1)].min(axis=1)
-            tail = self._x[last[part][:, None] - np.minimum(steps, np.minimum(w, g)[:, None] - 1)].min(axis=1)
-            out[part] = np.minimum(head, tail)
-        low, high = -(-(first) // g), (last + 1) // g
-        middle = np.flatnonzero((width > 2 * g) & (high > low))
+        g, reach = self.GROUP, last - first
+        out = np.minimum(self._x[first], self._x[last])
+        for k in range(1, g):
+            step = np.minimum(reach, k)
+            np.minimum(out, self._x[first + step], out=out)
+            np.minimum(out, self._x[last - step], out=out)
+        low, high = -(-first // g), (last + 1) // g
+        middle = np.flatnonzero((reach >= 2 * g) & (high > low))
         if len(middle):
-            n = (high - low)[middle]
-            level = np.floor(np.log2(n)).astype(np.int64)
-            for k in np.unique(level):
-                of = middle[level == k]
-                table = self._tables[k]
-                got = np.minimum(table[low[of]], table[high[of] - (1 << int(k))])
-                out[of] = np.minimum(out[of], got)
+            low, high = low[middle], high[middle]
+            level = np.log2(high - low).astype(np.int64)
+            for k in range(int(level.max()) + 1):
+                of = np.flatnonzero(level == k)
+                if len(of):
+                    table = self._tables[k]
+                    got = np.minimum(table[low[of]], table[high[of] - (1 << k)])
+                    out[middle[of]] = np.minimum(out[middle[of]], got)
         return out
 
 
@@ -213,7 +228,7 @@ def smallest_holder(data: np.ndarray, lengths: np.ndarray, least: np.ndarray) ->
     """Per string and start with LENGTH bytes left: the smallest `least` of any string that holds them."""
     index = ColumnwiseIndex(data, lengths)
     long = index.length >= LENGTH
-    owner, size, common = index.owner[long].astype(np.int64), index.length[long].astype(np.int64), index.common[long]
+    owner, size, common = index.owner[long], index.length[long], index.common[long]
     first = np.ones(len(owner), bool)
     # Between two suffixes with a common prefix of LENGTH lies no shorter one.
     first[1:] = common[1:] < LENGTH
@@ -227,6 +242,34 @@ def smallest_holder(data: np.ndarray, lengths: np.ndarray, least: np.ndarray) ->
     return out
 
 
+def by_collection(data: np.ndarray, lengths: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """`smallest_holder` of pieces, in one collection per length that their hashes reach.
+
+    Pieces of different hashes share no string of LENGTH bytes. Hashes whose longest pieces are
+    about as long go together, so that no collection takes rounds for strings it doesn't have.
+    """
+    begins = np.cumsum(lengths) - lengths
+    starts = lengths - LENGTH + 1
+    base = np.cumsum(starts) - starts
+    value = least_hashes(data)[begins]
+    _, group = np.unique(value, return_inverse=True)
+    longest = np.zeros(group.max(initial=0) + 1, np.int64)
+    np.maximum.at(longest, group, lengths)
+    kind = longest[group] // COLLECTION_STEP
+    out = np.empty(int(starts.sum()), np.int64)
+    for k in np.unique(kind):
+        own = np.flatnonzero(kind == k)
+        out[_ranges(base[own], starts[own])] = smallest_holder(
+            data[_ranges(begins[own], lengths[own])], lengths[own], least[own]
+        )
+    return out
+
+
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
 def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame, np.ndarray, np.ndarray]]:
     """Number, rows, joined bytes and lengths of batches; numbers are unique within a stage."""
     task, number = TaskContext.get().partitionId(), 0
@@ -381,7 +424,7 @@ def _repeated(frame: pd.DataFrame) -> pd.DataFrame:
     for piece, ids in holder:
         np.minimum.at(least, piece, ids)
     lengths = np.array([len(x) for x in distinct], np.int64)
-    smallest = smallest_holder(np.frombuffer(b"".join(distinct), np.uint8), lengths, least)
+    smallest = by_collection(np.frombuffer(b"".join(distinct), np.uint8), lengths, least)
     del distinct, holder
     starts = lengths - LENGTH + 1
     base = np.cumsum(starts) - starts
