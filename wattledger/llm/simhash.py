@@ -113,7 +113,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h", "n")).alias("best")
     )
     best = staged(chosen.select(F.col("best")["h"].alias("h"), F.col("best")["n"].alias("n")), "kept-rows")
-    kept = rows.join(best, "h")
+    # The rows are dealt out at any size; a broadcast of the kept hashes would only suit small inputs.
+    kept = rows.join(best.hint("shuffle_hash"), "h")
     # Only rows that are there more than once have to meet each other.
     again = kept.where("n > 1").groupBy("h").agg(F.first("row").alias("row"))
     return unboxed(kept.where("n = 1").select("row").union(again.select("row")), docs)
