@@ -10,6 +10,8 @@ character reaches a threshold calibrated on labelled pages that trained neither
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ ORDER = 4
 ALPHABET = 256
 FOLDS = 5
 START = "\x02"
+#: URLs that a task scores.
+STRINGS_PER_TASK = 2_000
 
 
 def host_of(url: Column) -> Column:
@@ -87,7 +91,10 @@ def score(strings: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame
 
     An empty string scores 0.
     """
-    rows = characters(strings.select("s").distinct(), order)
+    distinct = strings.select("s").distinct()
+    # Characters are many times the bytes of the strings, so that small partitions must not merge.
+    parts = max(1, math.ceil(strings.count() / STRINGS_PER_TASK))
+    rows = characters(distinct.repartition(parts, "s"), order)
     p = {name: F.lit(1.0 / ALPHABET) for name in "ab"}
     for k in range(order + 1):
         part = model.select(*(F.col(c).alias(f"{c}_{k}") for c in model.columns))
