@@ -37,10 +37,12 @@ EPSILON = 0.01
 ADDED = 0.5
 FOLDS, HELD_OUT = 5, 1
 
-BATCH_BYTES = 16 << 20
-BLOCK_BYTES = 24 << 20
+BATCH_BYTES = 12 << 20
+BLOCK_BYTES = 16 << 20
+#: Parts of a block, by second word, that are sorted one after the other to bound memory.
+PARTS = 4
 #: Documents of the sample that looks for frequent words; it decides on the layout alone.
-SAMPLE = 2000
+SAMPLE = 400
 
 ID_BYTES = 7
 START, END = 0, 1
@@ -140,7 +142,7 @@ def _bigrams(blocks: int, hot: np.ndarray) -> Callable:
                 counts = np.diff(np.append(at, e - s))
                 short = np.ascontiguousarray(v[s:e]).view(np.uint8).reshape(-1, 8)[:, :ID_BYTES].tobytes()
                 step = np.diff(doc[s:e], prepend=0).astype(np.int32)
-                words = pack(np.diff(w[s:e][at], prepend=np.uint64(0))) , pack(counts.astype(np.uint32))
+                words = pack(np.diff(w[s:e][at], prepend=np.uint64(0))), pack(counts.astype(np.uint32))
                 out.append((b, batch, *words, short, pack(step), np.packbits(train).tobytes(), None))
             if out:
                 k = batch % len(out)
@@ -150,8 +152,39 @@ def _bigrams(blocks: int, hot: np.ndarray) -> Callable:
     return run
 
 
-def _sums(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(index, values, n)
+def _decoded(frame: pd.DataFrame, blocks: int, part: int) -> tuple[np.ndarray, ...]:
+    """Second word, first word, document and training flag of the bigrams in one part of a block.
+
+    Documents are numbered over the batches of the block, in the order of the rows.
+    """
+    w, v, doc, train, base = [], [], [], [], 0
+    for r in frame.itertuples(index=False):
+        words, counts = np.cumsum(unpack(r.words, np.uint64), dtype=np.uint64), unpack(r.counts, np.uint32)
+        chosen = words // np.uint64(blocks) % np.uint64(PARTS) == part
+        flags = np.unpackbits(np.frombuffer(r.train, np.uint8)).astype(bool)
+        if chosen.any():
+            inside = np.repeat(chosen, counts)
+            w.append(np.repeat(words[chosen], counts[chosen]))
+            wide = np.zeros((len(w[-1]), 8), np.uint8)
+            wide[:, :ID_BYTES] = np.frombuffer(r.before, np.uint8).reshape(-1, ID_BYTES)[inside]
+            v.append(wide.view(np.uint64).ravel())
+            own = np.cumsum(unpack(r.doc, np.int32), dtype=np.int64)[inside]
+            train.append(flags[own])
+            doc.append(own + base)
+        base += len(flags)
+    if not w:
+        none = np.zeros(0, np.uint64)
+        return none, none, np.zeros(0, np.int64), np.zeros(0, bool)
+    w, v, doc, train = map(np.concatenate, (w, v, doc, train))
+    order = np.lexsort((v, w))
+    return w[order], v[order], doc[order], train[order]
+
+
+def _added(keys: list[np.ndarray], tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and the columns of the tables added up by key."""
+    known, place = np.unique(np.concatenate(keys), return_inverse=True)
+    rows = np.concatenate(tables, axis=1)
+    return known, np.stack([np.bincount(place, row, len(known)) for row in rows])
 
 
 def _counted(blocks: int, hot: np.ndarray, hot_counts: np.ndarray) -> Callable:
@@ -159,84 +192,84 @@ def _counted(blocks: int, hot: np.ndarray, hot_counts: np.ndarray) -> Callable:
     kinds = DISCOUNTED + 1
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        w, v, doc, train, docs, base = [], [], [], [], [], 0
-        out = []
-        for r in frame.itertuples(index=False):
-            words = np.cumsum(unpack(r.words, np.uint64), dtype=np.uint64)
-            w.append(np.repeat(words, unpack(r.counts, np.uint32)))
-            wide = np.zeros((len(r.before) // ID_BYTES, 8), np.uint8)
-            wide[:, :ID_BYTES] = np.frombuffer(r.before, np.uint8).reshape(-1, ID_BYTES)
-            v.append(wide.view(np.uint64).ravel())
-            own = np.cumsum(unpack(r.doc, np.int32), dtype=np.int64)
-            flags = np.unpackbits(np.frombuffer(r.train, np.uint8)).astype(bool)
-            train.append(flags[own])
-            doc.append(own + base)
-            docs.append((r.batch, base, len(flags)))
-            base += len(flags)
-            if r.ids is not None:
-                out.append((0, -1, r.batch, r.ids, None, None, None))
-        w, v, doc, train = map(np.concatenate, (w, v, doc, train))
-        order = np.lexsort((v, w))
-        w, v, doc, train = w[order], v[order], doc[order], train[order]
-        new_w = np.concatenate(([True], w[1:] != w[:-1]))
-        new_pair = new_w.copy()
-        new_pair[1:] |= v[1:] != v[:-1]
-        at_w, at_pair = np.flatnonzero(new_w), np.flatnonzero(new_pair)
-        c_w = np.add.reduceat(train, at_w, dtype=np.int64)
-        c_pair = np.add.reduceat(train, at_pair, dtype=np.int64)
-        is_hot = np.isin(w[at_w], hot)
-        if is_hot.any():
-            c_w[is_hot] = hot_counts[np.searchsorted(hot, w[at_w][is_hot])]
-        distinct = int(np.count_nonzero(c_w[~is_hot]))
-        cw = np.repeat(c_w, np.diff(np.append(at_w, len(w))))
-        r = np.repeat(c_pair, np.diff(np.append(at_pair, len(w))))
-        seen = r > 0
-        low = np.minimum(r, DISCOUNTED + 1)
-        # Documents: what their tokens add, but for discounts and backoff weights.
-        log_w = np.log10(cw + ADDED)
-        value = np.where(seen, np.log10(np.where(r > DISCOUNTED, r - EPSILON, np.maximum(r, 1))), log_w)
-        value -= np.where((cw > 0) & (w != END), np.log10(np.maximum(cw, 1)), 0)
-        present = np.unique(doc)
-        place = np.searchsorted(present, doc)
-        n = len(present)
-        whole = np.stack(
-            [np.bincount(place, minlength=n), np.bincount(place, cw > 0, n), np.bincount(place, ~seen, n)]
-            + [np.bincount(place, low == k, n) for k in range(1, kinds)]
-        ).astype(np.uint32)
-        real = np.stack((_sums(place, log_w, n), _sums(place, value, n)))
-        for batch, first, size in docs:
-            s, e = np.searchsorted(present, (first, first + size))
+        out = [(0, -1, r.batch, r.ids, None, None, None) for r in frame.itertuples(index=False) if r.ids is not None]
+        present, shares, names, stats, lost_v, lost_doc = [], [], [], [], [], []
+        ranks, distinct = np.zeros(DISCOUNTED + 3, np.int64), 0
+        for part in range(PARTS):
+            w, v, doc, train = _decoded(frame, blocks, part)
+            if not len(w):
+                continue
+            new_w = np.concatenate(([True], w[1:] != w[:-1]))
+            new_pair = new_w.copy()
+            new_pair[1:] |= v[1:] != v[:-1]
+            at_w, at_pair = np.flatnonzero(new_w), np.flatnonzero(new_pair)
+            c_w = np.add.reduceat(train, at_w, dtype=np.int64)
+            c_pair = np.add.reduceat(train, at_pair, dtype=np.int64)
+            is_hot = np.isin(w[at_w], hot)
+            if is_hot.any():
+                c_w[is_hot] = hot_counts[np.searchsorted(hot, w[at_w][is_hot])]
+            distinct += int(np.count_nonzero(c_w[~is_hot]))
+            ranks += np.bincount(np.minimum(c_pair, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
+            cw = np.repeat(c_w, np.diff(np.append(at_w, len(w))))
+            r = np.repeat(c_pair, np.diff(np.append(at_pair, len(w))))
+            seen = r > 0
+            # Documents: what their tokens add, but for discounts and backoff weights.
+            log_w = np.log10(cw + ADDED)
+            value = np.where(seen, np.log10(np.where(r > DISCOUNTED, r - EPSILON, np.maximum(r, 1))), log_w)
+            value -= np.where((cw > 0) & (w != END), np.log10(np.maximum(cw, 1)), 0)
+            known, place = np.unique(doc, return_inverse=True)
+            n = len(known)
+            present.append(known)
+            shares.append(
+                np.stack(
+                    [np.bincount(place, log_w, n), np.bincount(place, value, n)]
+                    + [np.bincount(place, minlength=n), np.bincount(place, cw > 0, n), np.bincount(place, ~seen, n)]
+                    + [np.bincount(place, r == k, n) for k in range(1, kinds)]
+                )
+            )
+            # Contexts: per v its count, the unigram counts of its followers, its followers by count.
+            kept = np.flatnonzero(c_pair > 0)
+            kept = kept[np.argsort(v[at_pair][kept], kind="stable")]
+            if len(kept):
+                pv, pc = v[at_pair][kept], c_pair[kept]
+                edge = np.flatnonzero(np.concatenate(([True], pv[1:] != pv[:-1])))
+                names.append(pv[edge])
+                stats.append(
+                    np.stack(
+                        [np.add.reduceat(pc, edge), np.add.reduceat(cw[at_pair][kept], edge)]
+                        + [np.add.reduceat(np.minimum(pc, kinds) == k, edge, dtype=np.int64) for k in range(1, kinds + 1)]
+                    )
+                )
+            lost_v.append(v[~seen])
+            lost_doc.append(doc[~seen])
+        sizes = [len(x) * 8 for x in frame["train"]]
+        firsts = np.cumsum([0, *sizes])
+        batches = frame["batch"].to_numpy(np.int64)
+        docs, table = _added(present, shares)
+        cuts = np.searchsorted(docs, firsts)
+        for k, batch in enumerate(batches):
+            s, e = cuts[k], cuts[k + 1]
             if s < e:
-                idx = (present[s:e] - first).astype(np.uint32)
-                out.append((0, -1, batch, None, pack(idx), pack(whole[:, s:e]), pack(real[:, s:e])))
-        # Contexts: per v its count, its followers by count, and their unigram counts.
-        pair_v, pair_w = v[at_pair], cw[at_pair]
-        trained = np.flatnonzero(c_pair > 0)
-        kept = trained[np.argsort(pair_v[trained], kind="stable")]
-        pv = pair_v[kept]
-        edge = np.flatnonzero(np.concatenate(([True], pv[1:] != pv[:-1]))) if len(pv) else np.zeros(0, np.int64)
-        if len(pv):
-            table = [np.add.reduceat(c_pair[kept], edge), np.add.reduceat(pair_w[kept], edge)]
-            table += [np.add.reduceat(np.minimum(c_pair[kept], kinds) == k, edge, dtype=np.int64) for k in range(1, kinds + 1)]
-            stats, names = np.stack(table), pv[edge]
-            home = (names % np.uint64(blocks)).astype(np.int64)
+                index = (docs[s:e] - firsts[k]).astype(np.uint32)
+                out.append((0, -1, batch, None, pack(index), pack(table[2:, s:e].astype(np.uint32)), pack(table[:2, s:e])))
+        if names:
+            contexts, table = _added(names, stats)
+            home = (contexts % np.uint64(blocks)).astype(np.int64)
             for b in np.unique(home):
                 own = home == b
-                out.append((1, int(b), -1, pack(np.diff(names[own], prepend=np.uint64(0))), pack(stats[:, own]), None, None))
+                packed = pack(np.diff(contexts[own], prepend=np.uint64(0))), pack(table[:, own].astype(np.int64))
+                out.append((1, int(b), -1, *packed, None, None))
         # Unseen bigrams, for the weights of their contexts.
-        lost = np.flatnonzero(~seen)
-        home = (v[lost] % np.uint64(blocks)).astype(np.int64)
-        lost = lost[np.lexsort((doc[lost], home))]
-        home = (v[lost] % np.uint64(blocks)).astype(np.int64)
-        firsts = np.array([first for _, first, _ in docs])
+        v, doc = np.concatenate(lost_v), np.concatenate(lost_doc)
+        home = (v % np.uint64(blocks)).astype(np.int64)
+        order = np.lexsort((doc, home))
+        v, doc, home = v[order], doc[order], home[order]
+        of = np.searchsorted(firsts, doc, side="right") - 1
         for b in np.unique(home):
-            own = lost[slice(*np.searchsorted(home, (b, b + 1)))]
-            of = np.searchsorted(firsts, doc[own], side="right") - 1
-            for k in np.unique(of):
-                one = own[of == k]
-                out.append((2, int(b), docs[k][0], pack(v[one]), pack((doc[one] - firsts[k]).astype(np.uint32)), None, None))
-        ranks = np.bincount(np.minimum(c_pair, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
-        out.append((3, -1, -1, pack(ranks.astype(np.int64)), pack(np.array([distinct], np.int64)), None, None))
+            own = slice(*np.searchsorted(home, (b, b + 1)))
+            index = (doc[own] - firsts[of[own]]).astype(np.uint32)
+            out.append((2, int(b), -1, pack(v[own]), pack(batches[of[own]]), pack(index), None))
+        out.append((3, -1, -1, pack(ranks), pack(np.array([distinct], np.int64)), None, None))
         return pd.DataFrame(out, columns=["kind", "block", "batch", "a", "b", "c", "d"])
 
     return run
@@ -266,9 +299,7 @@ def _weighted(d: np.ndarray, norm: float) -> Callable:
         parts = frame[frame["kind"] == 1]
         names = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in parts["a"]]
         if names:
-            stats = [unpack(x, np.int64).reshape(DISCOUNTED + 3, -1) for x in parts["b"]]
-            known, place = np.unique(np.concatenate(names), return_inverse=True)
-            table = np.stack([np.bincount(place, row, len(known)) for row in np.concatenate(stats, axis=1)])
+            known, table = _added(names, [unpack(x, np.int64).reshape(DISCOUNTED + 3, -1) for x in parts["b"]])
             followers = table[2:].sum(axis=0)
             left = freed @ table[2:]
             beyond = 1 - (table[1] + ADDED * followers) / norm
@@ -276,13 +307,21 @@ def _weighted(d: np.ndarray, norm: float) -> Callable:
             add = np.log10(left) - np.log10(beyond)
         else:
             known, add = np.zeros(0, np.uint64), np.zeros(0)
+        lost = frame[frame["kind"] == 2]
         out = []
-        for r in frame[frame["kind"] == 2].itertuples(index=False):
-            v, doc = unpack(r.a, np.uint64), unpack(r.b, np.uint32)
+        if len(lost):
+            v = np.concatenate([unpack(x, np.uint64) for x in lost["a"]])
+            batch = np.concatenate([unpack(x, np.int64) for x in lost["b"]])
+            doc = np.concatenate([unpack(x, np.uint32) for x in lost["c"]])
             at = np.minimum(np.searchsorted(known, v), max(len(known) - 1, 0))
             value = np.where(known[at] == v, add[at], 0.0) if len(known) else np.zeros(len(v))
-            present, place = np.unique(doc, return_inverse=True)
-            out.append((0, -1, r.batch, None, pack(present.astype(np.uint32)), None, pack(np.bincount(place, value, len(present)))))
+            order = np.lexsort((doc, batch))
+            batch, doc, value = batch[order], doc[order], value[order]
+            new = np.flatnonzero(np.concatenate(([True], (batch[1:] != batch[:-1]) | (doc[1:] != doc[:-1]))))
+            total, batch, doc = np.add.reduceat(value, new), batch[new], doc[new]
+            for b in np.unique(batch):
+                own = slice(*np.searchsorted(batch, (b, b + 1)))
+                out.append((0, -1, b, None, pack(doc[own]), None, pack(total[own])))
         return pd.DataFrame(out, columns=["kind", "block", "batch", "a", "b", "c", "d"])
 
     return run
@@ -328,7 +367,7 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     rows count as often as they occur. Without training rows all words are unknown and both scores
     are uniform. An empty table gives an empty result.
     """
-    text_batches(docs.sparkSession)
+    text_batches(docs.sparkSession, 2000)
     text = F.coalesce("text", F.lit("")).cast("binary")
     held = crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT
     rows = docs.select(
