@@ -38,7 +38,7 @@ ADDED = 0.5
 FOLDS, HELD_OUT = 5, 1
 
 BATCH_BYTES = 12 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 #: Parts of a block, by second word, that are sorted one after the other to bound memory.
 PARTS = 4
 #: Documents of the sample that looks for frequent words; it decides on the layout alone.
@@ -367,7 +367,7 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     rows count as often as they occur. Without training rows all words are unknown and both scores
     are uniform. An empty table gives an empty result.
     """
-    text_batches(docs.sparkSession, 2000)
+    text_batches(docs.sparkSession, 1000)
     text = F.coalesce("text", F.lit("")).cast("binary")
     held = crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT
     rows = docs.select(
