@@ -412,6 +412,74 @@ def test_op9_model(spark):
         assert score == pytest.approx(p(s, "allow") - p(s, "block"))
 
 
+def judged(urls):
+    """(verdict, score) by page of urls without a rule: both models, smoothing and threshold in plain Python."""
+    pages, order = {}, url_filter.ORDER
+    for i, url in urls.items():
+        head, sep, rest = (url or "").partition("://")
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host_ = host.translate(LOWER)
+        fits = []
+        for rule, verdict in url_filter.RULES:
+            at, _, below = rule.partition("/")
+            if (host_ == at or host_.endswith("." + at)) and path.startswith("/" + below):
+                fits.append((-len(rule), rule, verdict))
+        whole = head + sep + host_ + rest[len(host) :] if sep else url or ""
+        pages[i] = (whole, min(fits)[2] if fits else None, zlib.crc32(str(i).encode()) % url_filter.FOLDS == 0)
+    after = {"allow": defaultdict(Counter), "block": defaultdict(Counter)}
+    for s, label, calibrates in pages.values():
+        if label and not calibrates:
+            full = url_filter.START * order + s
+            for j in range(order, len(full)):
+                for k in range(order + 1):
+                    after[label][full[j - k : j]][full[j]] += 1
+
+    def log_p(full, j, label):
+        x = 1 / url_filter.ALPHABET
+        for k in range(order + 1):
+            if seen := after[label].get(full[j - k : j]):
+                x = (seen[full[j]] + len(seen) * x) / (seen.total() + len(seen))
+        return math.log(x)
+
+    def score(s):
+        full = url_filter.START * order + s
+        each = [log_p(full, j, "allow") - log_p(full, j, "block") for j in range(order, len(full))]
+        return sum(each) / len(each) if each else 0.0
+
+    scores = {i: score(s) for i, (s, _, _) in pages.items()}
+    held = [(label, math.floor(scores[i] * 100)) for i, (_, label, calibrates) in pages.items() if label and calibrates]
+    n = Counter(label for label, _ in held)
+    best = (0, 0, 0)
+    if len(n) == 2:
+        best = max(
+            (sum(a == "allow" and x >= t for a, x in held) / n["allow"] + sum(b == "block" and x < t for b, x in held) / n["block"], -abs(t), -t)
+            for t in {x for _, x in held}
+        )
+    return {i: ("allow" if scores[i] >= -best[2] / 100 else "block", scores[i]) for i, (_, label, _) in pages.items() if label is None}
+
+
+def test_op9_method_judges_the_whole_url(spark, tables):
+    urls = {i: f"http://a{i}.example.org/es/{i}?ref=casino#win" for i in range(1000, 1040)}
+    urls |= {i: f"https://b{i}.example.com/fr/{i}?page=2" for i in range(2000, 2040)}
+    urls |= {i: f"https://c{i}.example.org/de/{i}" for i in range(3000, 3020)}
+    ends = ("", "?page=2", "?page=2&to=example.com/fr/2010?page=2&to=example.com/fr/2010?page=2", "#win", "?ref=casino#win", "?ref=casino&ref=casino&ref=casino#win")
+    urls |= dict(enumerate("https://One.example.net/en/1" + end for end in ends))
+    urls |= dict(enumerate(["casino win", "page=2", "Page=2", "", None, "x?u=http://H.net/p", "http://h.net?Q=é\U0001f600"], 10))
+    given = {r["page_id"]: r["url"] for r in tables["pages"].select("page_id", "url").collect()}
+    for case in (urls, given):
+        rows = url_filter.judge_urls(spark.createDataFrame(list(case.items()), "page_id long, url string")).collect()
+        got = {r["page_id"]: (r["verdict"], r["score"]) for r in rows if r["rule"] is None}
+        want = judged(case)
+        assert got.keys() == want.keys()
+        for i, (verdict, score) in want.items():
+            assert got[i] == (verdict, pytest.approx(score)), case[i]
+    want = judged(urls)
+    assert len({want[i][1] for i in range(len(ends))}) == len(ends)
+    assert {want[i][0] for i in range(len(ends))} == {"allow", "block"}
+    assert want[10][1] != want[11][1] and want[13] == want[14]
+
+
 def mixed(docs):
     sizes = defaultdict(int)
     for _, source, size in docs:

@@ -1,8 +1,9 @@
 """URL filter: rules first, then a ratio of two character language models.
 
 Rules name a host and a path; they also label the pages that they fit, and these pages train one
-variable-order Markov model of accepted and one of rejected URLs. Both models share a table with a
-row per context of 0 to ORDER characters. Witten-Bell smoothing mixes the orders: a context that was
+variable-order Markov model of accepted and one of rejected URLs. The models see the whole URL, with
+its scheme, query and fragment; host and path are for the rules alone. Both models share a table with
+a row per context of 0 to ORDER characters. Witten-Bell smoothing mixes the orders: a context that was
 followed by many different characters trusts the shorter context more; below order 0 lies a
 uniform distribution. A URL without a rule is allowed if its log-likelihood difference per
 character reaches a threshold calibrated on labelled pages that trained neither model.
@@ -45,6 +46,13 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def string_of(url: Column) -> Column:
+    """What the models see: the whole URL with its host in lower case; null is empty."""
+    whole, host = F.coalesce(url, F.lit("")), host_of(url)
+    before = F.regexp_extract(whole, r"(?s)^.*?://", 0)
+    return F.concat(before, host, F.substr(whole, F.length(before) + F.length(host) + 1))
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """(rule, verdict) of the longest rule that fits, else null. Equal lengths: the first by text."""
     ordered = sorted(rules, key=lambda r: (-len(r[0]), r[0]))
@@ -144,13 +152,15 @@ def threshold(scored: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, score for every row of `pages` (page_id, url).
 
-    A null URL, or one without "://", has an empty host and path and scores 0. Repeated rows are
-    judged alike. Without labelled pages every score is 0 and all pages without a rule are allowed.
+    A null URL, or one without "://", has an empty host and path; the latter is scored as it stands, a
+    null or empty one scores 0. Repeated rows are judged alike. Without labelled pages every score is 0
+    and all pages without a rule are allowed.
     """
-    read = with_computed(pages.select("page_id", "url"), host=host_of(F.col("url")), path=path_of(F.col("url"))).drop("url")
+    url = F.col("url")
+    read = with_computed(pages.select("page_id", "url"), host=host_of(url), path=path_of(url), s=string_of(url)).drop("url")
     ruled = staged(
         with_computed(read, found=rule_of(F.col("host"), F.col("path"), rules)).select(
-            "page_id", "host", "path", "found.rule", F.col("found.verdict").alias("label"), F.concat("host", "path").alias("s"),
+            "page_id", "host", "path", "found.rule", F.col("found.verdict").alias("label"), "s",
         ),
         "url-rules",
     )
