@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from wattledger.llm import catalog, katz, mixing, quality_rules, secret_scan, suffix_dedup, url_filter
+from wattledger.llm import catalog, katz, mixing, quality_rules, secret_scan, suffix_dedup, token_rollup, url_filter
 from wattledger.llm.katz import DISCOUNTED, EPSILON, discounts
 
 from .conftest import SMALL
@@ -412,6 +412,20 @@ def test_op9_model(spark):
         assert score == pytest.approx(p(s, "allow") - p(s, "block"))
 
 
+def test_op2_totals_cover_all_rows(tables, odd, nothing):
+    for docs in (tables["documents"], odd):
+        want = defaultdict(lambda: [0, 0])
+        for r in docs.select("text", "source", "lang").collect():
+            text = r["text"] or ""
+            for name, n in (("words-1", len(split_words(text))), ("digits-1", len(re.findall(r"[0-9]|[^0-9\x20\x09-\x0D]+", text)))):
+                want[r["source"], r["lang"], name][0] += 1
+                want[r["source"], r["lang"], name][1] += n
+        rows = token_rollup.corpus_totals(docs).collect()
+        assert len(rows) == len(want)
+        assert {tuple(r)[:3]: [r["n_docs"], r["n_tokens"]] for r in rows} == want
+    assert token_rollup.corpus_totals(nothing).collect() == []
+
+
 def judged(urls):
     """(verdict, score) by page of urls without a rule: both models, smoothing and threshold in plain Python."""
     pages, order = {}, url_filter.ORDER

@@ -112,13 +112,10 @@ class Rollup:
         self._spark.createDataFrame([(b,) for b in batches], "batch string").write.mode("overwrite").parquet(f"{name}/held")
 
 
-def corpus_rollup(docs: DataFrame) -> DataFrame:
-    """Totals of `docs` (doc_id, text, source, lang) after four batches.
+def _changed(docs: DataFrame) -> tuple[Rollup, DataFrame]:
+    """The rollup of `docs` after the batches of corpus_rollup, and the rows behind them.
 
-    All counts are inserted; copies of a text of smaller doc_id are revised to 0 tokens, since
-    their text is counted already; a replay of the first batch changes nothing; documents of fewer
-    than five words are deleted. Null texts have 0 tokens, null keys are groups of their own, rows
-    of equal doc_id and text are copies of each other.
+    The rows, one per document and tokenizer version, have the keys, n_tokens, `copy` and `short`.
     """
     spark = docs.sparkSession
     counts = staged(
@@ -145,4 +142,29 @@ def corpus_rollup(docs: DataFrame) -> DataFrame:
     rollup.commit("load-1", inserted)
     rollup.compact()
     rollup.commit("delete-1", rows.where("short").select(*KEYS, now.alias("before"), none.alias("after")))
+    return rollup, rows
+
+
+def corpus_rollup(docs: DataFrame) -> DataFrame:
+    """Totals of `docs` (doc_id, text, source, lang) after four batches.
+
+    All counts are inserted; copies of a text of smaller doc_id are revised to 0 tokens, since
+    their text is counted already; a replay of the first batch changes nothing; documents of fewer
+    than five words are deleted. Null texts have 0 tokens, null keys are groups of their own, rows
+    of equal doc_id and text are copies of each other. Totals over all rows are in corpus_totals().
+    """
+    return _changed(docs)[0].totals()
+
+
+def corpus_totals(docs: DataFrame) -> DataFrame:
+    """Totals over all rows of `docs` (doc_id, text, source, lang).
+
+    Two batches follow those of corpus_rollup: its deleted documents are inserted again, and the
+    copies left are revised back to their own counts.
+    """
+    rollup, rows = _changed(docs)
+    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
+    rollup.commit("insert-2", rows.where("short").select(*KEYS, none.alias("before"), F.col("n_tokens").alias("after")))
+    revised = rows.where("copy AND NOT short")
+    rollup.commit("revise-2", revised.select(*KEYS, zero.alias("before"), F.col("n_tokens").alias("after")))
     return rollup.totals()
