@@ -494,6 +494,23 @@ def test_op9_method_judges_the_whole_url(spark, tables):
     assert want[10][1] != want[11][1] and want[13] == want[14]
 
 
+def test_op9_short_contexts_are_broadcast_from_a_large_model(spark):
+    known = spark.createDataFrame([("ab/ab", "allow"), ("abab", "allow"), ("cd/cd", "block"), ("cdx", "block")], "s string, label string")
+    model = url_filter.train(known, 3).localCheckpoint()
+    strings = spark.createDataFrame([("abd",), ("zz",), ("cd/",)], "s string")
+    short = model.where("length(ctx) <= 1").count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = url_filter.score(strings, model, 3, most=short)
+        plan = split._jdf.queryExecution().sparkPlan().toString()
+        assert (plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")) == (2, 2)
+        got = {r["s"]: r["score"] for r in split.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == pytest.approx({r["s"]: r["score"] for r in url_filter.score(strings, model, 3).collect()})
+
+
 def mixed(docs):
     sizes = defaultdict(int)
     for _, source, size in docs:

@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattledger.functions.once import with_computed
-from wattledger.llm.common import ascii_lower, crc_fold, small, staged
+from wattledger.llm.common import BROADCAST_ROWS, ascii_lower, crc_fold, staged
 
 # The rules.
 RULES = (
@@ -94,18 +94,25 @@ def train(labelled: DataFrame, order: int = ORDER) -> DataFrame:
     return counts.groupBy("ctx").agg(*of("allow", "a"), *of("block", "b"))
 
 
-def score(strings: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
+def score(strings: DataFrame, model: DataFrame, order: int = ORDER, most: int = BROADCAST_ROWS) -> DataFrame:
     """s, score for every distinct s: mean over its characters of ln P(allow) - ln P(block).
 
-    An empty string scores 0.
+    An empty string has no row. Contexts are joined by their length, shortest first, and marked for a
+    broadcast while they are counted to be at most `most` in all: the short ones are few, and every
+    string has them.
     """
+    sizes = dict(model.groupBy(F.length("ctx")).count().collect())
+    held = 0
     distinct = strings.select("s").distinct()
     # Characters are many times the bytes of the strings, so that small partitions must not merge.
     parts = max(1, math.ceil(strings.count() / STRINGS_PER_TASK))
     rows = characters(distinct.repartition(parts, "s"), order)
     p = {name: F.lit(1.0 / ALPHABET) for name in "ab"}
     for k in range(order + 1):
-        part = model.select(*(F.col(c).alias(f"{c}_{k}") for c in model.columns))
+        part = model.where(F.length("ctx") == k).select(*(F.col(c).alias(f"{c}_{k}") for c in model.columns))
+        held += sizes.get(k, 0)
+        if held <= most:
+            part = F.broadcast(part)
         rows = rows.join(part, F.col(f"c{k}") == F.col(f"ctx_{k}"), "left")
         step = {}
         for name in "ab":
@@ -116,7 +123,7 @@ def score(strings: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame
             step[f"p{name}"] = F.when(total > 0, mixed).otherwise(F.col(f"p{name}"))
         if k == 0:
             rows = rows.withColumns({f"p{name}": p[name] for name in "ab"})
-        rows = rows.withColumns(step).drop(*part.columns, f"c{k}")
+        rows = rows.withColumns(step).drop(*(f"{c}_{k}" for c in model.columns), f"c{k}")
     return rows.groupBy("s").agg(F.avg(F.log("pa") - F.log("pb")).alias("score"))
 
 
@@ -167,7 +174,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     known = ruled.where(F.col("label").isNotNull()).select(
         "s", "label", (crc_fold(F.col("page_id"), FOLDS) == 0).alias("calibrates")
     )
-    model = small(train(known.where(~F.col("calibrates"))), "url-model")
+    model = staged(train(known.where(~F.col("calibrates"))), "url-model")
     scores = staged(score(ruled, model), "url-scores")
     held = known.where("calibrates").select("s", "label").join(scores, "s")
     t = threshold(held).first()[0]
