@@ -11,10 +11,13 @@ from wattledger.llm import (
     katz,
     line_crf,
     mixing,
+    neighbours,
     oracle,
+    periodic_runs,
     quality_rules,
     secret_scan,
     simhash,
+    spelling,
     suffix_dedup,
     token_rollup,
     url_filter,
@@ -64,6 +67,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_url_filter,
         op10_mixing,
+        op11_periodic_runs,
+        op12_spelling_variants,
+        op13_neighbours,
     )
 }
 
