@@ -2,15 +2,18 @@
 
 Positions come from the regular expressions themselves: splitting a text at a pattern gives the
 gaps, the gaps and the matches give the starts. A candidate string is a long run of key characters;
-a window slides over it and keeps the counts of its characters up to date, one leaving and one
-entering, with the entropy following from the running sum of c * log2(c). Its limit depends on the
-character class of the candidate. Strings on the allow-list and strings that lie within a pattern's
-span add nothing.
+a window slides over it and keeps the counts of its characters, one leaving and one entering, with
+the entropy following from the running sum of c * log2(c). Its limit depends on the character class
+of the candidate. Strings on the allow-list and strings that lie within a pattern's span add nothing.
+
+Nothing takes quadratic time in the length of a string or the number of hits: candidates are cut
+into parts that overlap by less than a window, and running sums and maxima go over parts of an array.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,18 @@ ALLOWED = (
 )
 
 SPAN = "array<struct<start:int,kind:int,stop:int>>"
+#: Above every position; candidates are sorted behind the spans that begin where they do.
+END_OF_ORDER = 2**31 - 1
+#: Characters of a candidate, and elements of an array, that are handled as one part.
+STRING_PART = 4096
+ARRAY_PART = 256
+
+#: Counts of a window: five bits per character, twelve characters in a bigint; candidates consist
+#: of ASCII characters from "+" to "z".
+FIRST_CODE = ord("+")
+COUNT_BITS = 5
+PER_LONG = 12
+LONGS = -(-(ord("z") - FIRST_CODE + 1) // PER_LONG)
 
 
 def _hits(text: Column, pattern: str) -> Column:
@@ -55,16 +70,43 @@ def _hits(text: Column, pattern: str) -> Column:
     ).otherwise(F.array().cast("array<struct<gap:int,m:string>>"))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _cut(values: Column) -> Column:
+    """An array (a column or bound) in parts of ARRAY_PART elements."""
+    n = F.ceil(F.size(values) / ARRAY_PART).cast("int")
+    starts = F.filter(F.sequence(F.lit(0), n), lambda j: j < n)
+    return F.transform(starts, lambda j: F.slice(values, j * ARRAY_PART + 1, ARRAY_PART))
+
+
+def running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """`add` of the values up to each element of an array of int, 0 before the first."""
+
+    def grow(part: Column) -> Column:
+        # An element longer than `part`: it begins with 0.
+        return F.aggregate(part, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(add(F.element_at(a, -1), x))))
+
+    def together(within: Column) -> Column:
+        ends = grow(F.transform(within, lambda w: F.element_at(w, -1)))
+        return F.flatten(
+            F.zip_with(
+                within,
+                F.slice(ends, F.lit(1), F.size(within)),
+                lambda w, before: F.transform(F.slice(w, F.lit(2), F.size(w) - 1), lambda x: add(before, x)),
+            )
+        )
+
+    return bound(values, lambda v: bound(F.transform(_cut(v), grow), together))
+
+
 def _placed(hits: Column) -> Column:
     """Start and text of each match, in code points."""
-    return F.aggregate(
-        hits,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,m:string>>").alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("start"), x["m"].alias("m")))).alias("out"),
-        ),
-        lambda a: a["out"],
+    ends = running(F.transform(hits, lambda x: x["gap"] + F.length(x["m"])), lambda a, x: a + x)
+    return F.zip_with(
+        hits, ends, lambda x, end: F.struct((end - F.length(x["m"])).alias("start"), x["m"].alias("m"))
     )
 
 
@@ -75,36 +117,67 @@ def _spans(placed: Column, kind: int) -> Column:
     )
 
 
-def _weight(count: Column) -> Column:
-    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(0.0)
+def _least_sum(places: Column, window: int) -> Column:
+    """Least sum of c * log2(c) over the counts c of any window.
+
+    `places` (a bound array) says in which bigint and at which bit each character is counted.
+    """
+    weight = [c * math.log2(c) if c > 1 else 0.0 for c in range(window + 1)]
+    # What the c-th of equal characters adds.
+    step = F.array(F.lit(0.0), *(F.lit(weight[c] - weight[c - 1]) for c in range(1, window + 1)))
 
+    def count(counts: Column, x: Column) -> Column:
+        mask = F.lit((1 << COUNT_BITS) - 1).cast("long")
+        return F.call_function("shiftrightunsigned", F.get(counts, x["long"]), x["at"]).bitwiseAND(mask).cast("int")
 
-def window_entropy(string: Column, window: int = WINDOW) -> Column:
-    """Highest Shannon entropy of any window of the string, in bits per character."""
+    def one(x: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), x["at"])
 
-    def count(part: Column, ch: Column) -> Column:
-        return F.length(part) - F.length(F.replace(part, ch))
+    def state(total: Column, counts: Column, least: Column) -> Column:
+        return F.struct(total.alias("sum"), counts.alias("counts"), least.alias("least"))
 
-    first = F.substring(string, 1, window)
-    start = F.aggregate(
-        F.array_distinct(F.split(first, "")), F.lit(0.0), lambda s, ch: s + _weight(count(first, ch))
-    )
+    def enter(a: Column, x: Column) -> Column:
+        counts = F.transform(a["counts"], lambda c, j: F.when(j == x["long"], c + one(x)).otherwise(c))
+        return state(a["sum"] + F.get(step, count(a["counts"], x) + 1), counts, a["least"])
 
     def slide(a: Column, i: Column) -> Column:
-        before = F.substring(string, i, F.lit(window))
-        gone, new = F.substring(string, i, F.lit(1)), F.substring(string, i + window, F.lit(1))
-        c, d = count(before, gone), count(before, new)
-        moved = F.when(gone == new, a["sum"]).otherwise(
-            a["sum"] - _weight(c) + _weight(c - 1) - _weight(d) + _weight(d + 1)
+        gone, new = F.get(places, i - window), F.get(places, i)
+        same = gone == new
+
+        def other(c: Column, j: Column) -> Column:
+            less = F.when(j == gone["long"], one(gone)).otherwise(F.lit(0).cast("long"))
+            more = F.when(j == new["long"], one(new)).otherwise(F.lit(0).cast("long"))
+            return c - less + more
+
+        total = a["sum"] - F.get(step, count(a["counts"], gone)) + F.get(step, count(a["counts"], new) + 1)
+        return F.when(same, a).otherwise(
+            state(total, F.transform(a["counts"], other), F.least(a["least"], total))
         )
-        return F.struct(moved.alias("sum"), F.least(a["least"], moved).alias("least"))
 
-    steps = F.when(
-        F.length(string) > window, F.sequence(F.lit(1), F.length(string) - window)
-    ).otherwise(F.array().cast("array<int>"))
-    least = F.aggregate(
-        steps, F.struct(start.alias("sum"), start.alias("least")), slide, lambda a: a["least"]
+    none = state(F.lit(0.0), F.array_repeat(F.lit(0).cast("long"), LONGS), F.lit(0.0))
+    first = F.aggregate(F.slice(places, 1, window), none, enter, lambda a: state(a["sum"], a["counts"], a["sum"]))
+    steps = F.filter(F.sequence(F.lit(window), F.greatest(F.size(places), F.lit(window))), lambda i: i < F.size(places))
+    return F.aggregate(steps, first, slide, lambda a: a["least"])
+
+
+def _places(part: Column) -> Column:
+    code = F.transform(F.split(part, ""), lambda ch: F.ascii(ch) - FIRST_CODE)
+    return F.transform(
+        code, lambda c: F.struct(F.floor(c / PER_LONG).cast("int").alias("long"), (c % PER_LONG * COUNT_BITS).alias("at"))
     )
+
+
+def window_entropy(string: Column, window: int = WINDOW) -> Column:
+    """Highest Shannon entropy of any window of a candidate string, in bits per character."""
+    parts = F.regexp_extract_all(string, F.lit(f"(?s).{{1,{STRING_PART}}}"), F.lit(0))
+
+    def joined(p: Column) -> Column:
+        # A part begins with the last characters of the one before it; only the last may be short.
+        ends = F.transform(p, lambda x: F.right(x, F.lit(window - 1)))
+        before = F.slice(F.concat(F.array(F.lit("")), ends), F.lit(1), F.size(p))
+        return F.zip_with(before, p, lambda b, x: F.concat(b, x))
+
+    least = F.array_min(F.transform(bound(parts, joined), lambda x: bound(_places(x), lambda at: _least_sum(at, window))))
     return F.lit(math.log2(window)) - least / window
 
 
@@ -124,7 +197,7 @@ def _listed(spans: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     return F.array_join(
         F.transform(
-            F.array_sort(spans),
+            F.sort_array(spans),
             lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["stop"].cast("string")),
         ),
         ",",
@@ -160,21 +233,33 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
         placed,
         base_spans=F.concat(_spans(F.col("_a"), 0), _spans(F.col("_k"), 1), _spans(F.col("_h"), 2)),
     )
-    judged = with_computed(
+    # Of what begins no later, the furthest end of a pattern's span says whether a candidate lies in one.
+    merged = with_computed(
         based,
+        _m=F.sort_array(
+            F.concat(
+                F.transform("base_spans", lambda b: F.struct(b["start"].alias("start"), b["stop"].alias("reach"), F.lit("").alias("m"))),
+                F.transform("_c", lambda x: F.struct(x["start"].alias("start"), F.lit(END_OF_ORDER).alias("reach"), x["m"].alias("m"))),
+            )
+        ),
+    )
+    covered = with_computed(
+        merged,
+        _e=running(F.transform("_m", lambda x: F.when(x["reach"] < END_OF_ORDER, x["reach"]).otherwise(0)), F.greatest),
+    )
+    free = F.filter(
+        F.zip_with("_m", "_e", lambda x, reach: F.struct(x["start"].alias("start"), x["m"].alias("m"), reach.alias("reach"))),
+        lambda x: (x["m"] != "") & (x["reach"] < x["start"] + F.length(x["m"])),
+    )
+    judged = with_computed(
+        covered,
         _s=F.transform(
-            F.filter(
-                "_c",
-                lambda x: ~F.exists(
-                    "base_spans",
-                    lambda b: (b["start"] <= x["start"]) & (b["stop"] >= x["start"] + F.length(x["m"])),
-                ),
-            ),
+            free,
             lambda x: F.struct(x["start"].alias("start"), _suspect(x["m"]).alias("kind"), (x["start"] + F.length(x["m"])).alias("stop")),
         ),
     )
     more = F.filter("_s", lambda x: x["kind"].isNotNull())
-    return judged.withColumn("spans", F.concat("base_spans", more)).drop("_a", "_k", "_h", "_c", "_s")
+    return judged.withColumn("spans", F.concat("base_spans", more)).drop("_a", "_k", "_h", "_c", "_m", "_e", "_s")
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
@@ -192,22 +277,40 @@ def secret_digest(docs: DataFrame) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """The rows and columns of `docs`, every span of `text` replaced by `mark`; overlaps are one span."""
+    """The rows and columns of `docs`, every span of `text` replaced by `mark`; overlaps are one span.
+
+    Texts without a span, null and empty ones included, stay as they are; repeated rows stay; an
+    empty table gives an empty table.
+    """
     found = scan_secrets(boxed(docs))
     text = F.col("text")
-    rebuilt = F.aggregate(
-        F.array_sort("spans"),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct(
-            F.greatest(a["at"], x["stop"]).alias("at"),
-            F.when(
-                (x["start"] >= a["at"]) | (a["at"] == 0),
-                F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark)),
-            )
-            .otherwise(a["out"])
-            .alias("out"),
-        ),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
+    ordered = with_computed(found, _o=F.sort_array("spans"))
+    reached = with_computed(ordered, _r=running(F.transform("_o", lambda x: x["stop"]), F.greatest))
+    piece = F.zip_with(
+        "_o",
+        F.concat(F.array(F.lit(0)), F.slice("_r", F.lit(1), F.greatest(F.size("_r") - 1, F.lit(0)))),
+        lambda x, before: F.struct(before.alias("before"), x["start"].alias("start")),
     )
+    # A text is cut where a part of its pieces begins, so that pieces are looked up in short strings.
+    parts = with_computed(reached, _p=bound(piece, _cut)).withColumn("_t", F.element_at("_r", -1))
+
+    def part_text(p: Column, j: Column) -> Column:
+        base = p[0]["before"]
+        end = F.coalesce(F.get("_p", j + 1)[0]["before"], F.col("_t"))
+        return F.array_join(
+            F.transform(
+                F.array(F.struct(p.alias("pieces"), F.substring(text, base + 1, end - base).alias("region"))),
+                lambda r: F.array_join(F.transform(r["pieces"], lambda x: _replaced(r["region"], x, base, mark)), ""),
+            ),
+            "",
+        )
+
+    rebuilt = F.concat(F.array_join(F.transform("_p", part_text), ""), F.substring(text, F.col("_t") + 1, F.length(text)))
     clean = F.when(F.size("spans") > 0, rebuilt).otherwise(text)
-    return unboxed(found, docs, clean)
+    return unboxed(parts, docs, clean)
+
+
+def _replaced(region: Column, piece: Column, base: Column, mark: str) -> Column:
+    """What stands before a span, and its mark unless it begins inside an earlier one."""
+    kept = F.substring(region, piece["before"] - base + 1, F.greatest(piece["start"] - piece["before"], F.lit(0)))
+    return F.concat(kept, F.when(piece["start"] >= piece["before"], F.lit(mark)).otherwise(""))
