@@ -11,6 +11,8 @@ deltas that it doesn't hold.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,21 +84,16 @@ class Rollup:
     def _bases(self) -> list[str]:
         return sorted(n for n in self._folder.names("bases/v*") if self._folder.exists(f"bases/{n}/held/_SUCCESS"))
 
-    def _held(self) -> set[str]:
+    def _base(self) -> tuple[str | None, set[str]]:
+        """The newest base and the batches in it."""
         bases = self._bases()
         if not bases:
-            return set()
-        return {r[0] for r in self._spark.read.parquet(f"{self._path}/bases/{bases[-1]}/held").collect()}
-
-    def _parts(self, batches: list[str]) -> list[str]:
-        bases = self._bases()
-        own = [f"{self._path}/bases/{bases[-1]}/totals"] if bases else []
-        held = self._held()
-        return own + [f"{self._path}/deltas/batch={b}" for b in batches if b not in held]
+            return None, set()
+        base = f"{self._path}/bases/{bases[-1]}"
+        return base, {r[0] for r in self._spark.read.parquet(f"{base}/held").collect()}
 
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, n_docs, n_tokens; groups without documents or tokens are gone."""
-        parts = self._parts(self.committed())
+    def _sum(self, base: str | None, batches: Iterable[str]) -> DataFrame:
+        parts = [f"{base}/totals"] * bool(base) + [f"{self._path}/deltas/batch={b}" for b in batches]
         rows = self._spark.read.schema(DELTA).parquet(*parts) if parts else self._spark.createDataFrame([], DELTA)
         return (
             rows.groupBy(*KEYS)
@@ -104,12 +101,23 @@ class Rollup:
             .where("n_docs != 0 OR n_tokens != 0")
         )
 
+    def totals(self) -> DataFrame:
+        """source, lang, tokenizer, n_docs, n_tokens; groups without documents or tokens are gone."""
+        base, held = self._base()
+        return self._sum(base, sorted(set(self.committed()) - held))
+
     def compact(self) -> None:
-        """Fold the committed deltas into a new base; readers use it once its list of batches is written."""
-        batches = self.committed()
+        """Fold the committed deltas into a new base; readers use it once its list of batches is written.
+
+        Both the totals and the list come from one look at the commits, so that a batch which lands
+        meanwhile is in neither and stays a delta.
+        """
         name = f"{self._path}/bases/v{len(self._bases()):08d}"
-        self.totals().write.mode("overwrite").parquet(f"{name}/totals")
-        self._spark.createDataFrame([(b,) for b in batches], "batch string").write.mode("overwrite").parquet(f"{name}/held")
+        base, held = self._base()
+        new = sorted(set(self.committed()) - held)
+        self._sum(base, new).write.mode("overwrite").parquet(f"{name}/totals")
+        listed = self._spark.createDataFrame([(b,) for b in sorted(held.union(new))], "batch string")
+        listed.write.mode("overwrite").parquet(f"{name}/held")
 
 
 def _changed(docs: DataFrame) -> tuple[Rollup, DataFrame]:
