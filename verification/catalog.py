@@ -25,7 +25,7 @@ from wattledger.operators import (
     reconciliation,
     tariffs,
 )
-from wattledger.plans import alert_pass, billing_run, report, views
+from wattledger.plans import alert_pass, billing_run, report, snapshots, views
 from wattledger.session import work_folder
 from wattledger.sinks import tables as sinks
 from wattledger.sources import lake as lake_source
@@ -325,7 +325,7 @@ register(
 )
 register(
     "upsert_heartbeat",
-    lambda s, d: health.latest_heartbeat(given.heartbeats(s, d)),
+    lambda s, d: runs.heartbeat_store(s, d).heartbeats(s),
     """
     SELECT component, last_heartbeat, status, detail FROM heartbeat
     QUALIFY row_number() OVER (PARTITION BY component
@@ -532,7 +532,9 @@ register(
     "join_tariff_previous",
     lambda s, d: tariffs.join_tariff_previous(
         stored_daily(s, d).where(F.col("sim_day") == CURRENT_DAY),
-        tariffs.previous_tariffs(given.stored_tariffs(s, d), CURRENT_DAY),
+        snapshots.previous_tariffs(
+            snapshots.household_state(s, runs.billed_store(s, d), CURRENT_DAY - 1)
+        ),
     ),
     f"""
     SELECT d.*, p.sim_day AS prev_sim_day, p.tariff_rate AS prev_tariff_rate,
@@ -556,7 +558,7 @@ LATEST_TARIFF = """
     FROM tariff_ref GROUP BY 1"""
 register(
     "latest_tariff_per_household",
-    lambda s, d: tariffs.latest_tariff_per_household(given.stored_tariffs(s, d)),
+    lambda s, d: snapshots.latest_tariffs(snapshots.household_state(s, runs.billed_store(s, d))),
     LATEST_TARIFF,
 )
 LATEST_BILL = """
@@ -564,9 +566,17 @@ LATEST_BILL = """
            max(sim_day) AS last_final_sim_day FROM bill GROUP BY 1"""
 register(
     "latest_bill_per_household",
-    lambda s, d: bills.latest_bill_per_household(stored_bills(s, d)),
+    lambda s, d: snapshots.latest_bills(snapshots.household_state(s, runs.billed_store(s, d))),
     LATEST_BILL,
 )
+register(
+    "household_state",
+    lambda s, d: snapshots.household_state(s, runs.rebilled_store(s, d)),
+    f"""
+    SELECT coalesce(t.household_id, b.household_id) AS household_id, tariff_rate, billing_tier, subsidy_flag,
+           tariff_sim_day, last_final_bill, last_final_sim_day
+    FROM ({LATEST_TARIFF}) t FULL JOIN ({LATEST_BILL}) b ON t.household_id = b.household_id""",
+)
 
 
 def pending(s, d):
@@ -652,6 +662,18 @@ register(
     FROM clean LEFT JOIN ({LATEST_TARIFF}) USING (household_id)""",
 )
 
+register(
+    "stream_priced_live",
+    lambda s, d: runs.priced_live(s, d).select(
+        "event_id", "offset", "household_id", "sim_day", "power_consumption_kwh", "tariff_rate",
+        "billing_tier", "subsidy_flag", "tariff_sim_day",
+    ),
+    f"""
+    SELECT event_id, "offset", household_id, sim_day, power_consumption_kwh, tariff_rate,
+           billing_tier, subsidy_flag, tariff_sim_day
+    FROM clean LEFT JOIN ({LATEST_TARIFF}) USING (household_id)""",
+)
+
 # --- aggregations --------------------------------------------------------------------------------
 
 register(
@@ -801,7 +823,7 @@ register(
 )
 register(
     "latest_billed_day",
-    lambda s, d: bills.latest_billed_day(stored_bills(s, d)),
+    lambda s, d: reconciliation.newest_billed_day(runs.billed_store(s, d).reconciliation(s)),
     "SELECT max(sim_day) AS sim_day FROM bill",
 )
 register(
@@ -839,7 +861,9 @@ register(
 )
 register(
     "previous_tariffs",
-    lambda s, d: tariffs.previous_tariffs(given.stored_tariffs(s, d), CURRENT_DAY),
+    lambda s, d: snapshots.previous_tariffs(
+        snapshots.household_state(s, runs.billed_store(s, d), CURRENT_DAY - 1)
+    ),
     f"""
     SELECT household_id, sim_day AS prev_sim_day, tariff_rate AS prev_tariff_rate,
            billing_tier AS prev_billing_tier, subsidy_flag AS prev_subsidy_flag
@@ -851,7 +875,7 @@ register(
 
 register(
     "top_bills",
-    lambda s, d: bills.top_bills(bills.bills_of_day(stored_bills(s, d))),
+    lambda s, d: bills.top_bills(runs.billed_store(s, d).newest_bills(s).select(*bills.BILL_COLUMNS)),
     f"SELECT {BILL_SQL} FROM bill WHERE sim_day = (SELECT max(sim_day) FROM bill) "
     "ORDER BY bill_amount DESC, household_id LIMIT 5",
 )
@@ -1213,12 +1237,14 @@ register(
 )
 register(
     "view_billing_daily",
-    lambda s, d: views.view_billing_daily(stored_bills(s, d)),
+    lambda s, d: views.view_billing_daily(
+        runs.billed_store(s, d).newest_bills(s).select(*bills.BILL_COLUMNS)
+    ),
     f"SELECT {BILL_SQL} FROM bill WHERE sim_day = (SELECT max(sim_day) FROM bill)",
 )
 register(
     "view_billing_summary",
-    lambda s, d: views.view_billing_summary(stored_bills(s, d), SETTINGS),
+    lambda s, d: views.view_billing_summary(runs.billed_store(s, d).newest_bills(s), SETTINGS),
     f"{SUMMARY} WHERE sim_day = (SELECT max(sim_day) FROM bill) GROUP BY 1, 2",
 )
 register(
@@ -1238,10 +1264,10 @@ NET = "CAST(CAST(r.consumption_kwh AS DECIMAL(18,6)) - CAST(r.solar_kwh AS DECIM
 
 
 def projection(s, d):
-    return views.view_billing_projection(
-        given.stored_running(s, d),
-        given.stored_tariffs(s, d).where(F.col("sim_day") < CURRENT_DAY),
-        stored_bills(s, d).where(F.col("sim_day") < CURRENT_DAY),
+    store = runs.billed_store(s, d)
+    return views.view_billing_projection_from(
+        store.running_totals(s, SETTINGS, [CURRENT_DAY]),
+        snapshots.household_state(s, store, CURRENT_DAY - 1),
         AS_OF,
         SETTINGS,
     )

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from verification import inputs
 from verification.inputs import SETTINGS, shared
+from wattledger.operators.health import latest_heartbeat
 from wattledger.operators.readings import decode_readings
 from wattledger.plans.billing_run import backfill_days, run_day
+from wattledger.plans.snapshots import take_snapshot
 from wattledger.plans.store import Store
 from wattledger.session import work_folder
 from wattledger.sources.readings import source_readings_stream
+from wattledger.sinks import tables as sinks
 from wattledger.sources.tariff_files import scan_ready_days
 from wattledger.streaming import speed
 
@@ -227,3 +230,39 @@ def billed_store(spark: SparkSession, sf_dir: str) -> Store:
     return store
 
 
+
+
+@shared
+def rebilled_store(spark: SparkSession, sf_dir: str) -> Store:
+    """The billed days in another order: snapshots of all of them, then one old day billed again."""
+    store = Store(work_folder(spark, "store"))
+    lake_store(spark, sf_dir).lake(spark).write.partitionBy("sim_day", "batch_id").parquet(store.lake_path)
+    ready = scan_ready_days(spark, tariff_folder(spark, sf_dir))
+    days = sorted((row.sim_day, row.path) for row in ready.collect())
+    backfill_days(spark, store, days[:20], "first", SETTINGS, at_run)
+    backfill_days(spark, store, days[20:], "second", SETTINGS, at_run)
+    run_day(spark, store, LAST_DAY, last_tariff_file(spark, sf_dir), "last", SETTINGS, at_run)
+    old, path = days[7]
+    run_day(spark, store, old, path, "again", SETTINGS, at_run)
+    take_snapshot(spark, store)
+    return store
+
+
+@shared
+def heartbeat_store(spark: SparkSession, sf_dir: str) -> Store:
+    """The heartbeats known after a week, three weeks and at last, each written by the sink."""
+    store = Store(work_folder(spark, "store"))
+    beats = inputs.heartbeats(spark, sf_dir)
+    for until in ("2024-01-08", "2024-01-22", "2100-01-01"):
+        known = latest_heartbeat(beats.where(F.col("last_heartbeat") < F.lit(until).cast("timestamp")))
+        sinks.upsert_heartbeat(known, store.heartbeats_path)
+    return store
+
+
+@shared
+def priced_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean live readings with the latest tariffs of the billed store."""
+    store = billed_store(spark, sf_dir)
+    readings = decoded_stream(spark, message_folder(spark, sf_dir))
+    speed.start_priced_live(readings, store, SETTINGS, at_run, available_now=True).awaitTermination()
+    return spark.read.parquet(store.priced_live_path)

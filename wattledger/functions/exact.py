@@ -13,6 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Amounts from here on are added as doubles.
+LARGE = 1e10
+
+
 def to_units(value: Column, scale: int) -> Column:
     """Double to a whole number of 10^-scale units."""
     return F.rint(value * F.lit(float(10**scale))).cast("long")
@@ -27,6 +31,28 @@ def exact_sum(value: Column, scale: int) -> Column:
     return from_units(F.sum(to_units(value, scale)), scale)
 
 
+def money_units(amount: Column) -> Column:
+    """Cents of an ordinary amount, NULL beyond."""
+    return F.when(F.abs(amount) < LARGE, to_units(amount, 2))
+
+
+def money_beyond(amount: Column) -> Column:
+    """An amount too large for sums of cents, else NULL."""
+    return F.when(~(F.abs(amount) < LARGE), amount)
+
+
+def money_total(units: Column, beyond: Column) -> Column:
+    return from_units(F.coalesce(units, F.lit(0)), 2) + F.coalesce(beyond, F.lit(0.0))
+
+
+def money_sum(amount: Column) -> Column:
+    """Sum of amounts: exact in cents, but for amounts that no sum of cents could hold.
+
+    Those are added as doubles, so one absurd rate neither ends a run nor touches the exact part.
+    """
+    return money_total(F.sum(money_units(amount)), F.sum(money_beyond(amount)))
+
+
 def half_up(value: Column, digits: int) -> Column:
     """Round half away from zero to `digits` decimals, once.
 

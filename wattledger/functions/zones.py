@@ -16,6 +16,15 @@ def _bits(settings: Settings) -> int:
     return len(settings.zones).bit_length()
 
 
+def zone_number(zone: Column, settings: Settings) -> Column:
+    """Number of a zone from 1 on; 0 for an unknown one."""
+    return F.array_position(_zone_list(settings), zone)
+
+
+def zone_name(number: Column, settings: Settings) -> Column:
+    return F.get(_zone_list(settings), (number - 1).cast("int"))
+
+
 def zone_stamp(zone: Column, time: Column, settings: Settings) -> Column:
     """Event time and zone number in one bigint that orders by time.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions import billing
-from wattledger.functions.exact import exact_sum, from_units, half_up, to_units
+from wattledger.functions.exact import exact_sum, from_units, half_up, money_sum, to_units
 from wattledger.settings import Settings
 
 BILL_COLUMNS = (
@@ -100,8 +100,8 @@ def billing_zone_summary(bills: DataFrame, settings: Settings) -> DataFrame:
         rounded_sum("total_solar_kwh", kwh).alias("total_solar_kwh"),
         rounded_sum("net_consumption_kwh", kwh).alias("net_consumption_kwh"),
         rounded_mean("solar_contribution_pct", 1).alias("avg_solar_contribution_pct"),
-        rounded_sum("bill_amount", 2).alias("total_billed"),
-        rounded_mean("bill_amount", 2).alias("avg_bill"),
+        half_up(money_sum(F.col("bill_amount")), 2).alias("total_billed"),
+        half_up(money_sum(F.col("bill_amount")) / F.count(F.lit(1)), 2).alias("avg_bill"),
     )
 
 
@@ -114,7 +114,7 @@ def report_zone_table(bills: DataFrame, settings: Settings) -> DataFrame:
         exact_sum(F.col("total_consumption_kwh"), kwh).alias("consumption"),
         exact_sum(F.col("total_solar_kwh"), kwh).alias("solar"),
         (exact_sum(F.col("solar_contribution_pct"), 2) / count).alias("solar_pct"),
-        exact_sum(F.col("bill_amount"), 2).alias("billed"),
+        money_sum(F.col("bill_amount")).alias("billed"),
     )
 
 
@@ -122,7 +122,7 @@ def report_kpis(bills: DataFrame, settings: Settings) -> DataFrame:
     kwh = settings.kwh_scale
     return bills.groupBy("sim_day").agg(
         F.count(F.lit(1)).alias("households_billed"),
-        exact_sum(F.col("bill_amount"), 2).alias("total_billed"),
+        money_sum(F.col("bill_amount")).alias("total_billed"),
         exact_sum(F.col("total_consumption_kwh"), kwh).alias("consumption_kwh"),
         exact_sum(F.col("total_solar_kwh"), kwh).alias("solar_kwh"),
     )
@@ -130,7 +130,7 @@ def report_kpis(bills: DataFrame, settings: Settings) -> DataFrame:
 
 def billed_total(rows: DataFrame, amount: str, name: str) -> DataFrame:
     """Sum of an amount to cents; rows without an amount count as zero."""
-    total = exact_sum(F.coalesce(F.col(amount), F.lit(0.0)), 2)
+    total = money_sum(F.coalesce(F.col(amount), F.lit(0.0)))
     return rows.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(total, F.lit(0.0)).alias(name)
     )

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions import clock, quality
+from wattledger.functions import clock, quality, zones
 from wattledger.functions.exact import half_up
 from wattledger.functions.once import with_computed
 from wattledger.schemas import READING
 from wattledger.settings import Settings
 
+MEASURES = ("power_consumption_kwh", "solar_generation_kwh", "event_time")
+#: Bits of a stream position that hold the offset; the partition stands above them.
+OFFSET_BITS = 44
+
 DAY_COLUMNS = (
     "household_id",
     "grid_zone",
@@ -99,6 +103,28 @@ def dedup_global(readings: DataFrame, columns: tuple[str, ...] | None = None) ->
     return _first_delivery(readings, keys, [c for c in wanted if c not in keys])
 
 
+def first_measures(readings: DataFrame, settings: Settings) -> DataFrame:
+    """What exact days need of clean readings, one row per reading and day, over all batches.
+
+    The copy with the lowest stream position counts. All that is kept of it has a fixed width (the
+    position is one number, the zone another), so copies are removed in hash tables, without a sort
+    on either side of the shuffle. A reading is an event of a household: copies that disagree about
+    the household are readings of both.
+    """
+    place = F.shiftleft(F.col("partition").cast("long"), OFFSET_BITS).bitwiseOR(F.col("offset"))
+    zone = zones.zone_number(F.col("grid_zone"), settings)
+    narrow = readings.select(
+        "sim_day", "event_id", "household_id", *MEASURES, zone.alias("zone"), place.alias("place")
+    )
+    kept = (*MEASURES, "zone")
+    first = narrow.groupBy("sim_day", "event_id", "household_id").agg(
+        *(F.min_by(c, "place").alias(c) for c in kept)
+    )
+    return first.select(
+        "sim_day", "event_id", "household_id", *MEASURES, zones.zone_name(F.col("zone"), settings).alias("grid_zone")
+    )
+
+
 def dedup_microbatch(readings: DataFrame) -> DataFrame:
     """One row per reading within a micro-batch; copies in other batches stay."""
     keys = ["batch_id", "event_id"]

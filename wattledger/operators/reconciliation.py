@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.functions import billing
-from wattledger.functions.exact import from_units, to_units
+from wattledger.functions.exact import from_units, money_beyond, money_total, money_units, to_units
 from wattledger.settings import Settings
 
 
@@ -93,7 +93,8 @@ def reconciliation_metrics(
             F.when(F.col("tariff_source") == billing.FALLBACK, 1)
             .otherwise(0)
             .alias("fallback_tariffs"),
-            to_units(F.col("bill_amount"), 2).alias("billed_units"),
+            money_units(F.col("bill_amount")).alias("billed_units"),
+            money_beyond(F.col("bill_amount")).alias("billed_beyond"),
         ),
     ]
     sums = _sums_per_day(
@@ -111,6 +112,7 @@ def reconciliation_metrics(
             "households_billed",
             "fallback_tariffs",
             "billed_units",
+            "billed_beyond",
         ],
     ).na.fill(0)
     speed = from_units(F.col("speed_units"), settings.kwh_scale)
@@ -132,7 +134,7 @@ def reconciliation_metrics(
         "fallback_tariffs",
         "households_billed",
         (F.col("households") - F.col("households_billed")).alias("households_unbilled"),
-        from_units(F.col("billed_units"), 2).alias("total_billed"),
+        money_total(F.col("billed_units"), F.col("billed_beyond")).alias("total_billed"),
     )
 
 
@@ -149,6 +151,11 @@ def committed(rows: DataFrame, reconciliation: DataFrame) -> DataFrame:
     return rows.join(runs, ["sim_day", "run_id"], "left_semi")
 
 
+def newest_billed_day(reconciliation: DataFrame) -> DataFrame:
+    """The newest day with bills, from one row per day instead of all bills."""
+    return reconciliation.where("households_billed > 0").agg(F.max("sim_day").alias("sim_day"))
+
+
 def reconciliation_recent(reconciliation: DataFrame, limit: int = 10) -> DataFrame:
     if not 1 <= limit <= 100:
         raise ValueError("limit must be between 1 and 100")

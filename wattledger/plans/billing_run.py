@@ -16,7 +16,8 @@ from wattledger.functions.clock import instant
 from wattledger.operators import bills as bill_ops
 from wattledger.operators import reconciliation, tariffs
 from wattledger.operators.consumption import household_daily
-from wattledger.operators.readings import DAY_COLUMNS, dedup_global
+from wattledger.operators.readings import first_measures
+from wattledger.plans import snapshots
 from wattledger.plans.store import TARIFF_ROW, Store
 from wattledger.settings import Settings
 from wattledger.sinks import tables as sinks
@@ -27,9 +28,7 @@ from wattledger.streaming.speed import Clock, utc_now
 
 def exact_daily(readings: DataFrame, settings: Settings) -> DataFrame:
     """Exact totals from lake rows that may hold repeated deliveries."""
-    columns = (*DAY_COLUMNS, "partition", "offset")
-    narrow = readings.select("sim_day", "event_id", *columns)
-    return household_daily(dedup_global(narrow, DAY_COLUMNS), settings)
+    return household_daily(first_measures(readings, settings), settings)
 
 
 class _Run:
@@ -122,12 +121,13 @@ def run_day(
         extract = tariffs.stamp_day(tariff_files.scan_tariff_csv(spark, tariff_file), day)
         validated = run.tariff_rows(extract)
         reference = run.reference(validated)
-        previous = tariffs.previous_tariffs(store.tariffs(spark), day)
+        previous = snapshots.previous_tariffs(snapshots.take_snapshot(spark, store, day - 1))
         joined = tariffs.join_tariff_previous(
             tariffs.join_tariff_today(daily, reference), previous
         )
         enriched = tariffs.with_effective_tariff(joined)
         run.finish(enriched, lake, daily, validated, reference, now)
+        snapshots.take_snapshot(spark, store)
     except Exception as error:
         _log(spark, store, "bill_day", [day], str(error), now)
         _beat(spark, store, f"FAILED sim_day={day}: {error}", "FAILED", now)
@@ -160,10 +160,10 @@ def backfill_days(
         billed = extract.join(present.select(F.col("sim_day").cast("string")), "sim_day", "left_semi")
         validated = run.tariff_rows(billed.select(extract.columns))
         reference = run.reference(validated)
-        stored = store.tariffs(spark).drop("run_id")
-        known = reference.unionByName(_fallback_tariffs(stored, days))
+        known = reference.unionByName(_fallback_tariffs(spark, store, days))
         enriched = tariffs.asof_tariff(daily, known)
         run.finish(enriched, lake, daily, validated, reference, now)
+        snapshots.take_snapshot(spark, store)
     except Exception as error:
         _log(spark, store, "backfill_days", days, str(error), now)
         _beat(spark, store, f"FAILED days={days}: {error}", "FAILED", now)
@@ -172,19 +172,14 @@ def backfill_days(
     _beat(spark, store, f"days={days} run_id={run_id}", "OK", now)
 
 
-def _fallback_tariffs(stored: DataFrame, days: Sequence[int]) -> DataFrame:
+def _fallback_tariffs(spark: SparkSession, store: Store, days: Sequence[int]) -> DataFrame:
     """Stored tariffs a run over `days` can fall back to.
 
-    Of the days before the first billed one only the newest tariff per household can matter, so
-    years of history shrink to one row each.
+    Of the days before the first billed one only the newest tariff per household can matter, and
+    the snapshot of the day before has it.
     """
     first, last = min(days), max(days)
-    between = stored.where(
-        (F.col("sim_day") > first) & (F.col("sim_day") < last) & ~F.col("sim_day").isin(list(days))
-    )
-    before = tariffs.previous_tariffs(stored, first).select(
-        "household_id",
-        F.col("prev_sim_day").alias("sim_day"),
-        *(F.col(f"prev_{c}").alias(c) for c in tariffs.TARIFF),
-    )
-    return between.select(*before.columns).unionByName(before)
+    between = store.tariffs(spark, [d for d in range(first + 1, last) if d not in set(days)])
+    before = snapshots.latest_tariffs(snapshots.take_snapshot(spark, store, first - 1))
+    stacked = before.withColumnRenamed("tariff_sim_day", "sim_day")
+    return between.select(*stacked.columns).unionByName(stacked)

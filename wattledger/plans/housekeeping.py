@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from wattledger import schemas
 from wattledger.functions.clock import seconds_before
+from wattledger.plans.snapshots import sweep_snapshots
 from wattledger.plans.store import CLOSED_TOTAL, Store
 from wattledger.settings import Settings
-from wattledger.sinks.tables import replace_partitions
+from wattledger.sinks.tables import replace_partitions, sweep_heartbeats
 from wattledger.sources.files import Folder
 
 
@@ -37,6 +38,12 @@ def close_day(spark: SparkSession, store: Store, day: int, settings: Settings) -
         folder.drop(f"batch_id={batch}")
 
 
+def sweep(spark: SparkSession, store: Store, settings: Settings) -> None:
+    """Drop old heartbeat versions and snapshots that no committed chain names."""
+    sweep_heartbeats(spark, store.heartbeats_path, settings.grace_seconds)
+    sweep_snapshots(spark, store, settings.pending_lookback_days)
+
+
 def expire_live(spark: SparkSession, store: Store, as_of, settings: Settings) -> None:
     """Drop micro-batches of the live tables that ended before the retention period.
 

@@ -21,14 +21,14 @@ from wattledger.operators.readings import decode_readings
 from wattledger.operators.reconciliation import pending_days
 from wattledger.plans.alert_pass import run_alert_pass, sample_gauges
 from wattledger.plans.billing_run import backfill_days, run_day
-from wattledger.plans.housekeeping import close_day, expire_live
+from wattledger.plans.housekeeping import close_day, expire_live, sweep
 from wattledger.plans.report import write_report
 from wattledger.plans.store import Store
 from wattledger.session import prepare
 from wattledger.settings import Settings
 from wattledger.sources.readings import source_readings_stream
 from wattledger.sources.tariff_files import scan_ready_days
-from wattledger.streaming.speed import start_lake, start_zone_windows, utc_now
+from wattledger.streaming.speed import start_lake, start_priced_live, start_zone_windows, utc_now
 
 
 def _pairs(items: list[str]) -> dict[str, str]:
@@ -76,6 +76,7 @@ def _speed(spark: SparkSession, store: Store, settings: Settings, args) -> None:
             dedup_within_watermark=args.dedup_within_watermark,
         ),
         start_lake(readings, store, settings, available_now=args.available_now),
+        start_priced_live(readings, store, settings, available_now=args.available_now),
     ]
     if args.available_now:
         for query in queries:
@@ -119,6 +120,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         close_day(spark, store, args.sim_day, settings)
     elif args.job == "expire":
         expire_live(spark, store, utc_now(), settings)
+        sweep(spark, store, settings)
     else:
         write_report(store.bills(spark, [args.sim_day]), args.sim_day, args.out)
 

@@ -87,6 +87,14 @@ class Store:
     def bills_path(self) -> str:
         return self._path("bills")
 
+    @property
+    def household_state_path(self) -> str:
+        return self._path("household_state")
+
+    @property
+    def priced_live_path(self) -> str:
+        return self._path("priced_live")
+
     @property
     def unbilled_path(self) -> str:
         return self._path("unbilled_households")
@@ -194,7 +202,16 @@ class Store:
         return reader.parquet(*folders)
 
     def heartbeats(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, self.heartbeats_path, schemas.HEARTBEAT)
+        """The newest complete version of every component's heartbeat."""
+        folder = Folder(spark, self.heartbeats_path)
+        newest: dict[str, str] = {}
+        for path in folder.paths("component=*/version=*/_SUCCESS"):
+            version = path.rpartition("/")[0]
+            of = version.rpartition("/")[0]
+            newest[of] = max(version, newest.get(of, version))
+        if not newest:
+            return self._nothing(spark, schemas.HEARTBEAT)
+        return spark.read.schema(schemas.HEARTBEAT).parquet(*sorted(newest.values()))
 
     def run_log(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.run_log_path, schemas.RUN_LOG)
@@ -222,16 +239,15 @@ class Store:
     def daily(self, spark: SparkSession) -> DataFrame:
         return self._committed(spark, self.daily_path, schemas.HOUSEHOLD_DAILY)
 
-    def tariffs(self, spark: SparkSession) -> DataFrame:
-        return self._committed(spark, self.tariffs_path, schemas.TARIFF_REFERENCE)
+    def tariffs(self, spark: SparkSession, days: Sequence[int] | None = None) -> DataFrame:
+        return self._committed(spark, self.tariffs_path, schemas.TARIFF_REFERENCE, days)
 
     def bills(self, spark: SparkSession, days: Sequence[int] | None = None) -> DataFrame:
         return self._committed(spark, self.bills_path, schemas.BILL, days)
 
     def newest_bills(self, spark: SparkSession) -> DataFrame:
         """Bills of the newest billed day; the small reconciliation table says which it is."""
-        billed = self.reconciliation(spark).where("households_billed > 0")
-        day = billed.agg(F.max("sim_day")).first()[0]
+        day = reconciliation.newest_billed_day(self.reconciliation(spark)).first()[0]
         return self.bills(spark, [] if day is None else [day])
 
     def unbilled(self, spark: SparkSession) -> DataFrame:

@@ -85,6 +85,7 @@ def view_households_live(
 def view_billing_daily(
     bills: DataFrame, sim_day: int | None = None, household_id: str | None = None
 ) -> DataFrame:
+    """Bills of a day, the newest of `bills` by default; `Store.newest_bills` reads no other."""
     rows = bill_ops.point_filters(bill_ops.bills_of_day(bills, sim_day), household_id)
     return rows.orderBy("household_id")
 
@@ -116,16 +117,19 @@ def view_billing_projection(
 
     A household without any tariff has no amount yet. The last final bill stands beside it.
     """
+    latest = tariffs.latest_tariff_per_household(tariff_reference)
+    state = latest.join(bill_ops.latest_bill_per_household(bills), "household_id", "full")
+    return view_billing_projection_from(running, state, as_of, settings, household_id)
+
+
+def view_billing_projection_from(
+    running: DataFrame, state: DataFrame, as_of, settings: Settings, household_id: str | None = None
+) -> DataFrame:
+    """view_billing_projection() from the state of the households that snapshots keep."""
     live = running.where(F.col("sim_day") == current_day(as_of, settings))
     if household_id is not None:
-        live, tariff_reference, bills = (
-            bill_ops.point_filters(rows, household_id)
-            for rows in (live, tariff_reference, bills)
-        )
-    latest = tariffs.latest_tariff_per_household(tariff_reference)
-    priced = enrich_live_with_tariff(live, latest).join(
-        bill_ops.latest_bill_per_household(bills), "household_id", "left"
-    )
+        live, state = (bill_ops.point_filters(rows, household_id) for rows in (live, state))
+    priced = enrich_live_with_tariff(live, state)
     balanced = with_energy_balance(priced, settings, "consumption_kwh", "solar_kwh")
     billed = bill_ops.with_bill(balanced, settings, "provisional_bill_so_far")
     has_tariff = F.col("tariff_rate").isNotNull()

@@ -45,6 +45,8 @@ class Settings:
     quality_window_seconds: int = 300
     retention_seconds: int = 6 * 3600
     pending_lookback_days: int = 3
+    # How long readers may use what a newer version has replaced.
+    grace_seconds: int = 600
 
     @property
     def epoch_micros(self) -> int:

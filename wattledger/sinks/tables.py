@@ -7,11 +7,14 @@ view takes the newest version of a key or adds up the parts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattledger.sources.files import Folder
+
 # Columns of the report, in its order.
 REPORT_COLUMNS = (
     "household_id",
@@ -73,8 +76,38 @@ def append_stream_quality(quality: DataFrame, path: str) -> None:
 
 
 def upsert_heartbeat(heartbeats: DataFrame, path: str) -> None:
-    """The present heartbeat of the given components, in place of their previous one."""
-    replace_partitions(heartbeats, path, ("component",), balance=False)
+    """A new version of the given components' heartbeats, one row per component.
+
+    A version is a folder of its own that counts once it is complete, so a reader always finds the
+    one before it. Repeating a write adds an equal version.
+    """
+    for beat in heartbeats.collect():
+        at = int(beat["last_heartbeat"].timestamp() * 1_000_000)
+        row = heartbeats.sparkSession.createDataFrame([beat], heartbeats.schema)
+        version = f"version={at:020d}-{uuid.uuid4().hex[:8]}"
+        row.coalesce(1).write.parquet(f"{path}/component={beat['component']}/{version}")
+
+
+def sweep_heartbeats(spark: SparkSession, path: str, grace_seconds: int) -> None:
+    """Drop versions that are older than their component's newest one by more than the grace period.
+
+    Readers that listed an older version shortly before still find it.
+    """
+    folder = Folder(spark, path)
+    for component in folder.names("component=*"):
+        complete = sorted(folder.paths(f"{component}/version=*/_SUCCESS"))
+        if not complete:
+            continue
+        newest = complete[-1].rpartition("/")[0].rpartition("version=")[2]
+        limit = int(newest.partition("-")[0]) - grace_seconds * 1_000_000
+        for name in folder.names(f"{component}/version=*"):
+            if int(name.partition("=")[2].partition("-")[0]) < limit:
+                folder.drop(f"{component}/{name}")
+
+
+def append_priced_live(priced: DataFrame, path: str, batch_id: int) -> None:
+    """Live readings with their tariff; a repeated micro-batch replaces itself."""
+    replace_partitions(priced.withColumn("batch_id", F.lit(batch_id)), path, ("batch_id",))
 
 
 def append_run_log(runs: DataFrame, path: str) -> None:

@@ -27,6 +27,10 @@ class Folder:
         found = self._fs.globStatus(self._hadoop.Path(self._root, pattern)) or []
         return [status.getPath().getName() for status in found]
 
+    def paths(self, pattern: str) -> list[str]:
+        found = self._fs.globStatus(self._hadoop.Path(self._root, pattern)) or []
+        return [status.getPath().toString() for status in found]
+
     def text(self, name: str) -> str:
         stream = self._fs.open(self._hadoop.Path(self._root, name))
         try:

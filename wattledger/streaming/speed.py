@@ -26,6 +26,7 @@ from wattledger.operators.readings import (
     split_invalid,
     with_sim_day,
 )
+from wattledger.plans import snapshots
 from wattledger.plans.store import Store
 from wattledger.settings import Settings
 from wattledger.sinks import tables as sinks
@@ -174,6 +175,31 @@ def start_lake(
     return _started(writer, store.checkpoint_path("raw_lake"), settings, available_now)
 
 
+def start_priced_live(
+    readings: DataFrame,
+    store: Store,
+    settings: Settings,
+    now: Clock = utc_now,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Clean live readings with their household's latest tariff, into the priced feed.
+
+    The tariffs are looked up anew in every micro-batch, in the newest snapshot, so a day that is
+    billed while the query runs shows in the next one.
+    """
+    spark = readings.sparkSession
+    offset = batch_offset(spark, store, "priced_live")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        live = with_sim_day(split_clean(grade_readings(batch, settings)), settings)
+        latest = snapshots.latest_tariffs(snapshots.household_state(spark, store))
+        priced = enrich_live_with_tariff(live, latest).withColumn("priced_at", instant(now()))
+        sinks.append_priced_live(priced, store.priced_live_path, offset + batch_id)
+
+    writer = readings.writeStream.foreachBatch(write).queryName("priced_live")
+    return _started(writer, store.checkpoint_path("priced_live"), settings, available_now)
+
+
 def enrich_live_with_tariff(live: DataFrame, latest_tariffs: DataFrame) -> DataFrame:
     """Live rows with the household's latest tariff; `live` may be a stream."""
     return live.join(latest_tariffs, "household_id", "left")
