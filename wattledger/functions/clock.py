@@ -10,17 +10,34 @@ from pyspark.sql import functions as F
 from wattledger.settings import Settings
 
 
-def instant(as_of: Column | datetime | str) -> Column:
-    """Timestamp literal from an aware datetime, a naive one (taken as UTC) or ISO text."""
-    if isinstance(as_of, Column):
-        return as_of
+HOUR_MICROS = 3_600_000_000
+
+
+def micros_of(as_of: datetime | str) -> int:
+    """Microseconds since 1970 of an aware datetime, a naive one (taken as UTC) or ISO text."""
     if isinstance(as_of, str):
         as_of = datetime.fromisoformat(as_of)
     if as_of.tzinfo is None:
         as_of = as_of.replace(tzinfo=timezone.utc)
     delta = as_of - datetime(1970, 1, 1, tzinfo=timezone.utc)
-    micros = (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
-    return F.timestamp_micros(F.lit(micros))
+    return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
+
+
+def hour_of(as_of: datetime | str, seconds_earlier: float = 0) -> int:
+    """Number of the hour, since 1970, of a moment or of one before it."""
+    return (micros_of(as_of) - round(seconds_earlier * 1_000_000)) // HOUR_MICROS
+
+
+def event_hour(time: Column) -> Column:
+    """Number of the hour, since 1970, of a timestamp column; the folder it is kept in."""
+    return F.floor(F.unix_micros(time) / F.lit(HOUR_MICROS)).cast("int")
+
+
+def instant(as_of: Column | datetime | str) -> Column:
+    """Timestamp literal from an aware datetime, a naive one (taken as UTC) or ISO text."""
+    if isinstance(as_of, Column):
+        return as_of
+    return F.timestamp_micros(F.lit(micros_of(as_of)))
 
 
 def seconds_before(as_of: Column | datetime | str, seconds: float) -> Column:

@@ -43,7 +43,7 @@ def run_alert_pass(
     candidates = all_candidates(
         store.zone_windows(spark),
         store.heartbeats(spark),
-        store.quality(spark),
+        store.recent_quality(spark, as_of, settings),
         store.reconciliation(spark),
         store.run_log(spark),
         as_of,
@@ -70,7 +70,7 @@ def sample_gauges(spark: SparkSession, store: Store, as_of, settings: Settings)
         store.heartbeats(spark),
         store.zone_windows(spark),
         store.alerts(spark),
-        store.quality(spark),
+        store.recent_quality(spark, as_of, settings),
         store.reconciliation(spark),
         as_of,
         settings,

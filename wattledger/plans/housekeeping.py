@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from wattledger import schemas
-from wattledger.functions.clock import seconds_before
+from wattledger.functions.clock import hour_of, seconds_before
 from wattledger.plans.snapshots import sweep_snapshots
 from wattledger.plans.store import CLOSED_TOTAL, Store
 from wattledger.settings import Settings
@@ -45,19 +45,25 @@ def sweep(spark: SparkSession, store: Store, settings: Settings) -> None:
 
 
 def expire_live(spark: SparkSession, store: Store, as_of, settings: Settings) -> None:
-    """Drop micro-batches of the live tables that ended before the retention period.
+    """Drop what the live tables hold from before the retention period.
 
-    Batches go in the order of their numbers up to the first that still holds a current row: an
-    older version of a key never outlives a newer one.
+    Whole hours go without being read. In the hour the limit falls into, micro-batches go in the
+    order of their numbers up to the first that still holds a current row. All versions of a key are
+    in one hour, so an older version never outlives a newer one.
     """
-    limit = seconds_before(as_of, settings.retention_seconds)
+    limit, edge = seconds_before(as_of, settings.retention_seconds), hour_of(as_of, settings.retention_seconds)
     for path, schema, time in (
         (store.zone_windows_path, schemas.ZONE_WINDOW, "window_start"),
         (store.quality_path, schemas.STREAM_QUALITY, "recorded_at"),
     ):
-        rows = store.read(spark, path, schema)
-        first = rows.where(F.col(time) >= limit).agg(F.min("batch_id")).first()[0]
         folder = Folder(spark, path)
-        for name in folder.names("batch_id=*"):
-            if first is None or int(name.partition("=")[2]) < first:
-                folder.drop(name)
+        hours = store.hours(spark, path)
+        for hour in hours:
+            if hour < edge:
+                folder.drop(f"hour={hour}")
+        if edge in hours:
+            rows = spark.read.schema(schema).option("basePath", path).parquet(folder.child(f"hour={edge}"))
+            first = rows.where(F.col(time) >= limit).agg(F.min("batch_id")).first()[0]
+            for name in folder.names(f"hour={edge}/batch_id=*"):
+                if first is None or int(name.partition("=")[2]) < first:
+                    folder.drop(f"hour={edge}/{name}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from wattledger import schemas
-from wattledger.functions.clock import instant
+from wattledger.functions.clock import hour_of, instant
 from wattledger.operators import alerts, consumption, reconciliation
 from wattledger.settings import Settings
 from wattledger.sources.files import Folder, partition_folders
@@ -122,7 +123,7 @@ class Store:
         """Whether any micro-batch has been written."""
         folder = Folder(spark, self.root)
         logs = ("zone_windows", "stream_quality")
-        return any(folder.names(f"{name}/batch_id=*") for name in logs)
+        return any(folder.names(f"{name}/hour=*/batch_id=*") for name in logs)
 
     def read(
         self,
@@ -164,8 +165,44 @@ class Store:
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.quarantine_path, schemas.QUARANTINE)
 
-    def zone_windows(self, spark: SparkSession, where: Column | str | None = None) -> DataFrame:
-        log = self.read(spark, self.zone_windows_path, schemas.ZONE_WINDOW, where)
+    def _read_hours(
+        self, spark: SparkSession, path: str, schema: StructType, first: int | None, last: int | None
+    ) -> DataFrame:
+        """Rows of the hour folders from `first` to `last`, listing only these; of all for None."""
+        if first is None and last is None:
+            return self.read(spark, path, schema).select(*schema.fieldNames())
+        hours = self.hours(spark, path)
+        wanted = [h for h in hours if (first is None or h >= first) and (last is None or h <= last)]
+        if not wanted:
+            return self._nothing(spark, schema)
+        folders = partition_folders(spark, path, "hour", wanted)
+        reader = spark.read.schema(schema).option("basePath", path)
+        return reader.parquet(*folders).select(*schema.fieldNames())
+
+    @staticmethod
+    def hours(spark: SparkSession, path: str) -> list[int]:
+        return sorted(int(name.partition("=")[2]) for name in Folder(spark, path).names("hour=*"))
+
+    def zone_windows(
+        self, spark: SparkSession, since: datetime | str | None = None, until: datetime | str | None = None
+    ) -> DataFrame:
+        """Zone windows, newest versions; with bounds, of the hours of starts in between.
+
+        All versions of a window are in the hour of its start.
+        """
+        first, last = (None if at is None else hour_of(at) for at in (since, until))
+        return consumption.zone_window_view(
+            self._read_hours(spark, self.zone_windows_path, schemas.ZONE_WINDOW, first, last)
+        )
+
+    def grid_history(
+        self, spark: SparkSession, as_of: datetime | str, minutes: int, settings: Settings
+    ) -> DataFrame:
+        """The zone windows that view_grid_history() of these minutes can need."""
+        earliest = minutes * 60 + settings.window_seconds
+        log = self._read_hours(
+            spark, self.zone_windows_path, schemas.ZONE_WINDOW, hour_of(as_of, earliest), hour_of(as_of)
+        )
         return consumption.zone_window_view(log)
 
     def running_totals(
@@ -190,16 +227,35 @@ class Store:
         parts = later.drop("batch_id").unionByName(closed)
         return consumption.running_totals(parts, settings)
 
-    def quality(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, self.quality_path, schemas.STREAM_QUALITY)
+    def quality(self, spark: SparkSession, first: int | None = None, last: int | None = None) -> DataFrame:
+        """Quality rows, one per micro-batch; with bounds, of the hours in between."""
+        log = self._read_hours(spark, self.quality_path, schemas.STREAM_QUALITY, first, last)
+        return consumption.latest_update(log, ("batch_id",), "recorded_at")
+
+    def recent_quality(self, spark: SparkSession, as_of: datetime | str, settings: Settings) -> DataFrame:
+        """Quality rows of the hours that rules, roll-ups and the recent lag look at.
+
+        They are those of the roll-up's window, and as many earlier ones as hold the micro-batches
+        that the lag is taken from.
+        """
+        now, lower = hour_of(as_of), hour_of(as_of, settings.quality_window_seconds)
+        folder, batches, first = Folder(spark, self.quality_path), 0, now
+        for hour in reversed([h for h in self.hours(spark, self.quality_path) if h <= now]):
+            if hour < lower and batches >= settings.lag_batches:
+                break
+            first = hour
+            # Some batches of the present hour may be later than `as_of`.
+            batches += len(folder.names(f"hour={hour}/batch_id=*")) if hour < now else 0
+        return self.quality(spark, min(first, lower), now)
 
     def quality_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The quality row of one micro-batch; none for an empty one."""
-        folders = partition_folders(spark, self.quality_path, "batch_id", [batch_id])
+        folders = Folder(spark, self.quality_path).paths(f"hour=*/batch_id={batch_id}")
         if not folders:
             return self._nothing(spark, schemas.STREAM_QUALITY)
         reader = spark.read.schema(schemas.STREAM_QUALITY).option("basePath", self.quality_path)
-        return reader.parquet(*folders)
+        rows = reader.parquet(*folders).select(*schemas.STREAM_QUALITY.fieldNames())
+        return consumption.latest_update(rows, ("batch_id",), "recorded_at")
 
     def heartbeats(self, spark: SparkSession) -> DataFrame:
         """The newest complete version of every component's heartbeat."""

@@ -48,6 +48,12 @@ class Settings:
     # How long readers may use what a newer version has replaced.
     grace_seconds: int = 600
 
+    @property
+    def window_seconds(self) -> int:
+        """Length of `window`, a number of seconds or minutes."""
+        number, unit = self.window.split()
+        return int(number) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
+
     @property
     def epoch_micros(self) -> int:
         return round(self.epoch_seconds * 1_000_000)

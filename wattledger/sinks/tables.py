@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattledger.functions.clock import event_hour
 from wattledger.sources.files import Folder
 
 # Columns of the report, in its order.
@@ -61,9 +62,11 @@ def sink_quarantine(invalid: DataFrame, path: str, quarantined_at) -> None:
 
 
 def upsert_zone_windows(windows: DataFrame, path: str, batch_id: int, updated_at) -> None:
-    """The windows a micro-batch changed, as a new version of their keys."""
-    stamped = windows.withColumns({"updated_at": updated_at, "batch_id": F.lit(batch_id)})
-    replace_partitions(stamped, path, ("batch_id",))
+    """The windows a micro-batch changed, as a new version of their keys, by hour of their start."""
+    stamped = windows.withColumns(
+        {"updated_at": updated_at, "batch_id": F.lit(batch_id), "hour": event_hour(F.col("window_start"))}
+    )
+    replace_partitions(stamped, path, ("hour", "batch_id"))
 
 
 def upsert_running_totals(partials: DataFrame, path: str) -> None:
@@ -72,7 +75,12 @@ def upsert_running_totals(partials: DataFrame, path: str) -> None:
 
 
 def append_stream_quality(quality: DataFrame, path: str) -> None:
-    replace_partitions(quality, path, ("batch_id",), balance=False)
+    """The quality row of a micro-batch, by hour of recording.
+
+    A batch that is repeated in a later hour leaves its first row; readers take the newer one.
+    """
+    dated = quality.withColumn("hour", event_hour(F.col("recorded_at")))
+    replace_partitions(dated, path, ("hour", "batch_id"), balance=False)
 
 
 def upsert_heartbeat(heartbeats: DataFrame, path: str) -> None:
