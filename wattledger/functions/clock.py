@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +28,12 @@ def hour_of(as_of: datetime | str, seconds_earlier: float = 0) -> int:
     return (micros_of(as_of) - round(seconds_earlier * 1_000_000)) // HOUR_MICROS
 
 
+def date_of(as_of: datetime | str, days_earlier: int = 0) -> str:
+    """ISO date, in UTC, of a moment or of days before it."""
+    moment = datetime(1970, 1, 1) + timedelta(microseconds=micros_of(as_of))
+    return (moment - timedelta(days=days_earlier)).date().isoformat()
+
+
 def event_hour(time: Column) -> Column:
     """Number of the hour, since 1970, of a timestamp column; the folder it is kept in."""
     return F.floor(F.unix_micros(time) / F.lit(HOUR_MICROS)).cast("int")

@@ -203,14 +203,33 @@ def rule_drift(reconciliation: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def rule_task_failed(run_log: DataFrame, as_of) -> DataFrame:
+TASK_FAILED = "PIPELINE_TASK_FAILED"
+
+
+def _new_failures(failed: DataFrame, known: DataFrame) -> DataFrame:
+    """Failures that no alert of their step has seen yet."""
+    seen = known.where(F.col("alert_type") == TASK_FAILED).groupBy("scope").agg(
+        F.max("last_seen_at").alias("seen_until")
+    )
+    scope = F.concat_ws(".", "dag_id", "task_id")
+    marked = failed.join(seen, scope == F.col("scope"), "left")
+    return marked.where(
+        F.col("seen_until").isNull() | (F.col("finished_at") > F.col("seen_until"))
+    ).drop("scope", "seen_until")
+
+
+def rule_task_failed(run_log: DataFrame, as_of, known: DataFrame | None = None) -> DataFrame:
     """Failed step runs up to `as_of`, the last failure of a step speaking for it.
 
-    Only failures become candidates, so such an alert stays open until somebody closes it.
+    Only failures become candidates, so such an alert stays open until somebody closes it. With
+    the `known` alerts, open and resolved, a failure is a candidate once: a closed alert stays
+    closed until the step fails again.
     """
     failed = run_log.where(
         (F.col("state") == "failed") & (F.col("finished_at") <= instant(as_of))
     )
+    if known is not None:
+        failed = _new_failures(failed, known)
     order = F.struct("finished_at", "sim_day", "error")
     last = failed.groupBy("dag_id", "task_id").agg(
         F.max_by(F.struct("sim_day", "error"), order).alias("last")
@@ -226,7 +245,7 @@ def rule_task_failed(run_log: DataFrame, as_of) -> DataFrame:
     none = F.lit(None)
     return _candidates(
         last,
-        "PIPELINE_TASK_FAILED",
+        TASK_FAILED,
         F.concat_ws(".", "dag_id", "task_id"),
         CRITICAL,
         message,
@@ -454,6 +473,29 @@ def alert_lifecycle(open_alerts: DataFrame, candidates: DataFrame, as_of) -> Dat
     )
 
 
+def with_closures(candidates: DataFrame, open_alerts: DataFrame, closures: DataFrame) -> DataFrame:
+    """Candidates, and a clear one for every open alert that somebody closed after it was last seen.
+
+    `closures` has id and closed_at. A breached candidate of the same type and scope counts more.
+    """
+    closed = closures.groupBy("id").agg(F.max("closed_at").alias("closed_at"))
+    asked = open_alerts.where(~F.col("resolved")).join(closed, "id").where(F.col("closed_at") > F.col("last_seen_at"))
+    clear = asked.select(
+        *KEY, "severity", "message", "metric_value", "threshold", F.lit(False).alias("breached")
+    )
+    judged = candidates.where("breached").select(*KEY)
+    left = clear.join(judged, list(KEY), "left_anti")
+    others = candidates.join(left.select(*KEY), list(KEY), "left_anti")
+    return others.unionByName(left)
+
+
+def open_after(open_alerts: DataFrame, changes: DataFrame) -> DataFrame:
+    """The open alerts after a pass: those it left alone and those it triggered or refreshed."""
+    changed = changes.where("NOT resolved").select(*STATE)
+    untouched = open_alerts.where(~F.col("resolved")).select(*STATE).join(changes.select("id"), "id", "left_anti")
+    return untouched.select(*STATE).unionByName(changed)
+
+
 def current_alerts(changes: DataFrame) -> DataFrame:
     """The present state of every alert from the log of changes."""
     payload = [c for c in STATE if c != "id"]

@@ -39,7 +39,12 @@ def close_day(spark: SparkSession, store: Store, day: int, settings: Settings) -
 
 
 def sweep(spark: SparkSession, store: Store, settings: Settings) -> None:
-    """Drop old heartbeat versions and snapshots that no committed chain names."""
+    """Drop old heartbeat versions, snapshots that no committed chain names, and old rule passes."""
+    for path, prefix, kept in ((store.open_alerts_path, "pass=", 3), (store.alerts_path, "pass_id=", settings.kept_passes)):
+        folder = Folder(spark, path)
+        passes = sorted(folder.names(f"{prefix}*"), key=lambda name: int(name.partition("=")[2]))
+        for name in passes[:-kept]:
+            folder.drop(name)
     sweep_heartbeats(spark, store.heartbeats_path, settings.grace_seconds)
     sweep_snapshots(spark, store, settings.pending_lookback_days)
 

@@ -9,10 +9,10 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wattledger import schemas
-from wattledger.functions.clock import hour_of, instant
+from wattledger.functions.clock import date_of, hour_of, instant
 from wattledger.operators import alerts, consumption, reconciliation
 from wattledger.settings import Settings
 from wattledger.sources.files import Folder, partition_folders
@@ -32,6 +32,7 @@ CLOSED_TOTAL = schemas.columns(
 GAUGE_SAMPLE = schemas.columns(
     "name string, label string, value double, sampled_at timestamp, sampled_on date"
 )
+CLOSURE = schemas.columns("id bigint, closed_at timestamp")
 UNBILLED = schemas.columns("household_id string, sim_day int, run_id string")
 
 
@@ -108,6 +109,18 @@ class Store:
     def alerts_path(self) -> str:
         return self._path("alert_changes")
 
+    @property
+    def open_alerts_path(self) -> str:
+        return self._path("open_alerts")
+
+    @property
+    def resolved_alerts_path(self) -> str:
+        return self._path("resolved_alerts")
+
+    @property
+    def closures_path(self) -> str:
+        return self._path("alert_closures")
+
     @property
     def run_log_path(self) -> str:
         return self._path("run_log")
@@ -269,8 +282,21 @@ class Store:
             return self._nothing(spark, schemas.HEARTBEAT)
         return spark.read.schema(schemas.HEARTBEAT).parquet(*sorted(newest.values()))
 
-    def run_log(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, self.run_log_path, schemas.RUN_LOG)
+    def _since(self, spark: SparkSession, path: str, schema: StructType, key: str, since) -> DataFrame:
+        """Rows of the date folders from the date of `since` on, listing only these."""
+        folder = Folder(spark, path)
+        first = "" if since is None else date_of(since)
+        days = [n for n in folder.names(f"{key}=*") if n.partition("=")[2] >= first]
+        if not days:
+            return self._nothing(spark, schema)
+        reader = spark.read.schema(schema).option("basePath", path)
+        return reader.parquet(*(folder.child(n) for n in days)).select(*schema.fieldNames())
+
+    def run_log(self, spark: SparkSession, since=None) -> DataFrame:
+        return self._since(spark, self.run_log_path, schemas.RUN_LOG, "finished_on", since)
+
+    def closures(self, spark: SparkSession, since=None) -> DataFrame:
+        return self._since(spark, self.closures_path, CLOSURE, "closed_on", since)
 
     def gauge_samples(self, spark: SparkSession, since=None) -> DataFrame:
         """Stored gauge samples; with `since` only the folders from that date on are read."""
@@ -312,5 +338,32 @@ class Store:
     def tariff_rows(self, spark: SparkSession) -> DataFrame:
         return self._committed(spark, self.tariff_rows_path, TARIFF_ROW)
 
-    def alerts(self, spark: SparkSession) -> DataFrame:
-        return alerts.current_alerts(self.read(spark, self.alerts_path, ALERT_CHANGE))
+    def _open_generation(self, spark: SparkSession, before: int | None) -> tuple[str | None, int]:
+        """Folder and pass of the newest complete generation of open alerts."""
+        complete = Folder(spark, self.open_alerts_path).paths("pass=*/_SUCCESS")
+        passes = {int(p.rpartition("/")[0].rpartition("pass=")[2]): p.rpartition("/")[0] for p in complete}
+        known = [n for n in passes if before is None or n < before]
+        return (passes[max(known)], max(known)) if known else (None, -1)
+
+    def open_alerts(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Open alerts after the newest pass (before pass `before`): one folder is read."""
+        path, _ = self._open_generation(spark, before)
+        return self._nothing(spark, schemas.ALERT) if path is None else spark.read.schema(schemas.ALERT).parquet(path)
+
+    def resolved_alerts(self, spark: SparkSession, since=None, before: int | None = None) -> DataFrame:
+        """Alerts that committed passes resolved, from the date of `since` on."""
+        _, newest = self._open_generation(spark, before)
+        schema = StructType([*schemas.ALERT.fields, StructField("pass_id", LongType())])
+        rows = self._since(spark, self.resolved_alerts_path, schema, "resolved_on", since)
+        return rows.where(F.col("pass_id") <= newest).drop("pass_id")
+
+    def alerts(self, spark: SparkSession, since=None, before: int | None = None) -> DataFrame:
+        """Open alerts and those resolved (from the date of `since` on), one row per alert."""
+        return self.open_alerts(spark, before).unionByName(self.resolved_alerts(spark, since, before))
+
+    def alert_changes(self, spark: SparkSession, pass_id: int) -> DataFrame:
+        """What one pass changed."""
+        folders = partition_folders(spark, self.alerts_path, "pass_id", [pass_id])
+        if not folders:
+            return self._nothing(spark, ALERT_CHANGE)
+        return spark.read.schema(ALERT_CHANGE).option("basePath", self.alerts_path).parquet(*folders)

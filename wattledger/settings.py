@@ -45,6 +45,10 @@ class Settings:
     quality_window_seconds: int = 300
     retention_seconds: int = 6 * 3600
     pending_lookback_days: int = 3
+    # Failed runs older than this are no longer looked at.
+    failure_horizon_days: int = 7
+    # Rule passes whose changes are kept.
+    kept_passes: int = 1000
     # How long readers may use what a newer version has replaced.
     grace_seconds: int = 600
 

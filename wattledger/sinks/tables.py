@@ -119,8 +119,9 @@ def append_priced_live(priced: DataFrame, path: str, batch_id: int) -> None:
 
 
 def append_run_log(runs: DataFrame, path: str) -> None:
-    """Finished step runs (dag_id, task_id, sim_day, state, error, finished_at)."""
-    runs.coalesce(1).write.mode("append").parquet(path)
+    """Finished step runs (dag_id, task_id, sim_day, state, error, finished_at), by date."""
+    dated = runs.withColumn("finished_on", F.to_date("finished_at"))
+    dated.coalesce(1).write.mode("append").partitionBy("finished_on").parquet(path)
 
 
 def append_gauge_samples(gauges: DataFrame, path: str, sampled_at) -> None:
@@ -151,6 +152,27 @@ def append_alert_changes(changes: DataFrame, path: str, pass_id: int) -> None:
     replace_partitions(stamped, path, ("pass_id",), balance=False)
 
 
+def append_resolved_alerts(changes: DataFrame, path: str, pass_id: int) -> None:
+    """The alerts a pass resolved, by date."""
+    resolved = changes.where("resolved").withColumns(
+        {"resolved_on": F.to_date("resolved_at"), "pass_id": F.lit(pass_id)}
+    )
+    replace_partitions(resolved, path, ("resolved_on", "pass_id"), balance=False)
+
+
+def write_open_alerts(rows: DataFrame, path: str, pass_id: int) -> None:
+    """All open alerts after a pass: a generation of its own, which commits the pass."""
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/pass={pass_id:012d}")
+
+
+def append_closure(spark: SparkSession, path: str, alert_id: int, closed_at) -> None:
+    """Somebody's wish that an open alert be closed; the next pass grants it."""
+    wish = spark.range(1).select(
+        F.lit(alert_id).cast("long").alias("id"), closed_at.alias("closed_at"), F.to_date(closed_at).alias("closed_on")
+    )
+    wish.write.mode("append").partitionBy("closed_on").parquet(path)
+
+
 def write_report_csv(bills: DataFrame, path: str) -> None:
     """Per-day billing CSV in household order.
 
