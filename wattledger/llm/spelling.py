@@ -5,8 +5,8 @@ few enough words, up to five; the grams that are in too many are the dictionary
 on. A gram depends on its own characters only, so an edit at one place spoils just the grams across
 that place: the most such grams of a word are its bound. Of its G grams at least G minus the bound
 are in every near word too. All but so many of its rarest grams can thus be left out: the lists of
-the bound + 1 rarest are merged, by gram and length, and every pair in them is verified by its edit
-distance inside the join.
+the bound + 1 rarest are merged, by gram, place and length, and every pair in them is verified by its
+edit distance inside the join.
 """
 
 from __future__ import annotations
@@ -104,21 +104,13 @@ def _bound(grams: Column) -> Column:
 
 
 def rare_grams(parts: DataFrame) -> DataFrame:
-    """word, key: the bound + 1 rarest grams of every word, the k-th of equal grams by itself."""
+    """word, gram, at: the bound + 1 rarest grams of every word."""
     lists = parts.groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
     sized = parts.join(lists, "gram")
     entry = F.struct("held", "gram", "at")
     whole = sized.groupBy("word").agg(F.array_sort(F.collect_list(entry)).alias("grams"))
     rare = F.slice("grams", F.lit(1), _bound(F.col("grams")) + 1)
-    # Equal grams are neighbours in this order.
-    numbered = F.transform(
-        rare,
-        lambda g, i: F.struct(
-            g["gram"].alias("gram"),
-            F.size(F.filter(F.slice(rare, F.lit(1), i + 1), lambda o: o["gram"] == g["gram"])).alias("k"),
-        ),
-    )
-    return whole.select("word", F.inline(numbered))
+    return whole.select("word", F.inline(rare)).select("word", "gram", "at")
 
 
 def near_pairs(words: DataFrame, frequent: int = FREQUENT) -> DataFrame:
@@ -126,11 +118,10 @@ def near_pairs(words: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     parts = staged(decomposed(words, frequent_grams(words, frequent)), "grams")
     rare = staged(rare_grams(parts), "rare-grams")
     size = F.length("word")
-    entries = rare.select(F.col("word").alias("v"), F.xxhash64("gram", "k", size).alias("key"))
-    # A word looks among words of its own length and of one more.
-    probes = rare.select(
-        F.col("word").alias("u"), F.explode(F.array(*(F.xxhash64("gram", "k", size + d) for d in (0, 1)))).alias("key")
-    )
+    entries = rare.select(F.col("word").alias("v"), F.xxhash64("gram", "at", size).alias("key"))
+    # The rarest gram that the edit spares is where it was, or one further on in a longer word.
+    places = F.array(*(F.xxhash64("gram", F.col("at") + a, size + d) for d, a in ((0, 0), (1, 0), (1, 1))))
+    probes = rare.select(F.col("word").alias("u"), F.explode(places).alias("key"))
     ordered = (F.length("u") < F.length("v")) | (F.col("u") < F.col("v"))
     near = ordered & (F.levenshtein(F.col("u"), F.col("v"), 1) == 1)
     return probes.alias("p").join(entries.alias("e"), (F.col("p.key") == F.col("e.key")) & near).select("u", "v").distinct()
