@@ -292,7 +292,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         lambda x, before: F.struct(before.alias("before"), x["start"].alias("start")),
     )
     # A text is cut where a part of its pieces begins, so that pieces are looked up in short strings.
-    parts = with_computed(reached, _p=bound(piece, _cut)).withColumn("_t", F.element_at("_r", -1))
+    parts = with_computed(reached, _p=bound(piece, _cut)).withColumn("_t", F.try_element_at(F.col("_r"), F.lit(-1)))
 
     def part_text(p: Column, j: Column) -> Column:
         base = p[0]["before"]
