@@ -388,3 +388,7 @@ def test_stored_gauge_samples_feed_the_monitor(spark, store, drop):
     stale = found.where("alert = 'PipelineComponentStale'")
     assert ("batch_layer", 120.0) in values(stale, "label", "held_seconds")
     assert store.gauge_samples(spark, at(200_000)).isEmpty()
+    # Nobody produces any more at that time.
+    assert values(found.where("alert = 'NoMeterEventsProduced'"), "started_at", "held_seconds") == [
+        (at(100_000), 120.0)
+    ]

@@ -393,6 +393,72 @@ def test_sustained_breach_does_not_depend_on_buckets(spark, bucket):
     )
 
 
+@pytest.mark.parametrize("bucket", [7, 60, 100_000])
+@pytest.mark.parametrize("gap", [3, 6, None])
+def test_spells_end_where_samples_are_missing(spark, bucket, gap):
+    rng = random.Random(5)
+    samples, want = [], []
+    for series in ("a", "b"):
+        now, spell = 0, []
+        for _ in range(200):
+            now += rng.choice((1, 2, 3, 4, 9))
+            breached = rng.choice((True, True, True, False, None))
+            samples.append((series, at(now), breached))
+            if spell and (not breached or (gap is not None and now - spell[-1] > gap)):
+                want.append((series, at(spell[0]), at(spell[-1]), len(spell)))
+                spell = []
+            if breached:
+                spell.append(now)
+        if spell:
+            want.append((series, at(spell[0]), at(spell[-1]), len(spell)))
+    rows = frame(spark, "series string, sampled_at timestamp, breached boolean", *samples)
+    got = alerts.sustained_breach(rows.repartition(3), 0, bucket, gap_seconds=gap)
+    assert values(got, "series", "started_at", "ended_at", "samples") == sorted(want)
+
+
+def test_arrival_rate_slides(spark):
+    rng = random.Random(3)
+    came = [(rng.choice("ab"), at(rng.randint(0, 200)), rng.choice((0, 1, 5, None))) for _ in range(150)]
+    looked = [(s, at(t)) for s in "abc" for t in (-5, 0, 9, 10, 11, 100, 100, 199, 230)]
+    odd = [(None, at(1), 9), ("a", None, 9)]
+    arrivals = frame(spark, "series string, at timestamp, events int", *came, *odd)
+    samples = frame(spark, "series string, sampled_at timestamp", *looked, (None, at(1)), ("a", None))
+    want = sorted(
+        (s, t, sum(n or 0 for of, a, n in came if of == s and 0 <= (t - a).total_seconds() < 10))
+        for s, t in set(looked)
+    )
+    got = alerts.arrival_rate(arrivals, samples, 10)
+    assert values(got, "series", "sampled_at", "events") == want
+    assert all(r.events_per_second == r.events / 10 for r in got.collect())
+    assert {r.events for r in alerts.arrival_rate(arrivals.limit(0), samples, 10).collect()} == {0}
+    assert alerts.arrival_rate(arrivals, samples.limit(0), 10).isEmpty()
+
+
+def test_silence_fires_after_its_interval_and_its_hold(spark):
+    """Readings until second 600, a look every 30 seconds: silent from 720 on, firing at 840."""
+    arrivals = frame(
+        spark,
+        "label string, at timestamp, events bigint",
+        *(("", at(t), 3) for t in range(0, 601, 10)),
+    )
+
+    def fired(times):
+        looked = frame(spark, "label string, sampled_at timestamp", *(("", at(t)) for t in times))
+        samples = alerts.arrival_rate(arrivals, looked, alerts.DELIVERY_SECONDS, "label").select(
+            F.lit(alerts.DELIVERY_RATE).alias("name"),
+            "label",
+            F.col("events_per_second").alias("value"),
+            "sampled_at",
+        )
+        spells = alerts.monitor_alerts(samples, SETTINGS)
+        return values(spells, "alert", "started_at", "held_seconds")
+
+    assert fired(range(0, 840, 30)) == []
+    assert fired(range(0, 841, 30)) == [("NoMeterEventsProduced", at(720), 120.0)]
+    # Nobody looked for longer than the gap that samples may leave: no conclusion.
+    assert fired([*range(0, 781, 30), *range(1110, 1200, 30)]) == []
+
+
 def test_monitor_rules(spark):
     def held(name, label, times, value):
         return [(name, label, value, at(t)) for t in times]

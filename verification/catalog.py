@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1070,54 +1071,121 @@ register(
 )
 
 
+#: The given events arrive minutes to hours apart, so gaps and intervals are long here.
+MONITORED = replace(SETTINGS, sample_gap_seconds=5400.0)
+ARRIVAL_SECONDS, STALE_SECONDS = 1800, 3600
+
+
+def component_arrivals(s, d):
+    """Heartbeats as arrivals of their component, looked for at the end of every micro-batch."""
+    beats = given.heartbeats(s, d).select(
+        F.col("component").alias("series"),
+        F.col("last_heartbeat").alias("at"),
+        F.lit(1).alias("events"),
+    )
+    names = F.array(*map(F.lit, ("alerts_engine", "batch_layer", "meter_producer", "speed_layer")))
+    looked = given.stored_quality(s, d).select(
+        F.explode(names).alias("series"), F.col("recorded_at").alias("sampled_at")
+    )
+    return alerts.arrival_rate(beats, looked, ARRIVAL_SECONDS)
+
+
+register(
+    "arrival_rate",
+    component_arrivals,
+    f"""
+    SELECT series, recorded_at AS sampled_at, count(component) AS events,
+           count(component)::DOUBLE / {ARRIVAL_SECONDS} AS events_per_second
+    FROM (SELECT DISTINCT recorded_at, unnest(['alerts_engine', 'batch_layer', 'meter_producer',
+                                               'speed_layer']) AS series FROM quality)
+    LEFT JOIN heartbeat ON component = series AND last_heartbeat <= recorded_at
+                       AND last_heartbeat > recorded_at - INTERVAL {ARRIVAL_SECONDS} SECOND
+    GROUP BY ALL""",
+)
+
+
 def monitor_samples(s, d):
-    """Gauges of every micro-batch and heartbeat, as a monitor would have sampled them."""
+    """Gauges of every micro-batch, heartbeat, window and day, as a monitor would have sampled them."""
     quality = given.stored_quality(s, d)
-    rate = F.lit(100.0) * F.col("invalid_events") / F.col("total_events")
-    gauges = {
-        "stream_invalid_event_rate_pct": rate,
-        "stream_processing_lag_seconds": F.col("avg_lag_seconds"),
-    }
-    streams = [
-        quality.select(
+
+    def gauge(rows, name, label, value, time):
+        return rows.select(
             F.lit(name).alias("name"),
-            F.lit("").alias("label"),
-            value.alias("value"),
-            F.col("recorded_at").alias("sampled_at"),
+            label.alias("label"),
+            value.cast("double").alias("value"),
+            F.col(time).alias("sampled_at"),
         )
-        for name, value in gauges.items()
-    ]
-    beats = given.heartbeats(s, d).select(
-        F.lit("pipeline_component_up").alias("name"),
-        F.col("component").alias("label"),
-        F.when(F.col("status") == "OK", 1.0).otherwise(0.0).alias("value"),
-        F.col("last_heartbeat").alias("sampled_at"),
+
+    nothing, speed = F.lit(""), F.lit("speed_layer")
+    rate = F.lit(100.0) * F.col("invalid_events") / F.col("total_events")
+    low = given.stored_windows(s, d).groupBy("window_end").agg(
+        F.count_if(F.col("renewable_pct") < SETTINGS.low_renewable_pct).alias("zones")
+    )
+    days = stored_recon(s, d).withColumn("day_end", F.timestamp_seconds(
+        F.lit(SETTINGS.epoch_seconds) + (F.col("sim_day") + 1) * SETTINGS.day_seconds
+    ))
+    produced = component_arrivals(s, d).where("series = 'meter_producer'")
+    return alerts.union_candidates(
+        gauge(quality, "stream_invalid_event_rate_pct", nothing, rate, "recorded_at"),
+        gauge(quality, "stream_processing_lag_seconds", nothing, F.col("avg_lag_seconds"), "recorded_at"),
+        gauge(quality, "pipeline_component_staleness_seconds", speed, F.col("max_lag_seconds"), "recorded_at"),
+        gauge(quality, "pipeline_component_stale_budget_seconds", speed, F.lit(STALE_SECONDS), "recorded_at"),
+        gauge(
+            given.heartbeats(s, d), "pipeline_component_up", F.col("component"),
+            F.when(F.col("status") == "OK", 1).otherwise(0), "last_heartbeat",
+        ),
+        gauge(produced, alerts.DELIVERY_RATE, nothing, F.col("events_per_second"), "sampled_at"),
+        gauge(low, "alerts_active", F.lit("LOW_RENEWABLE"), F.col("zones"), "window_end"),
+        gauge(days, "batch_reconciliation_drift_pct", nothing, F.col("drift_pct"), "day_end"),
     )
-    return streams[0].unionByName(streams[1]).unionByName(beats)
 
 
+CRITICAL_RULES = "('PipelineComponentUnhealthy', 'PipelineComponentStale', 'NoMeterEventsProduced')"
 register(
     "monitor_alerts",
-    lambda s, d: alerts.monitor_alerts(monitor_samples(s, d), SETTINGS),
+    lambda s, d: alerts.monitor_alerts(monitor_samples(s, d), MONITORED),
     f"""
-    SELECT alert, label, CASE alert WHEN 'PipelineComponentUnhealthy' THEN 'CRITICAL'
-                                    ELSE 'WARNING' END AS severity,
+    SELECT alert, label, CASE WHEN alert IN {CRITICAL_RULES} THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
            min(taken) AS started_at, max(taken) AS ended_at, count(*) AS samples,
            CAST(epoch_us(max(taken)) - epoch_us(min(taken)) AS DOUBLE) / 1e6 AS held_seconds
-    FROM (SELECT *, row_number() OVER (PARTITION BY alert, label ORDER BY taken, breached)
-                      - row_number() OVER (PARTITION BY alert, label, breached ORDER BY taken) AS spell
-          FROM (SELECT 'HighInvalidEventRate' AS alert, '' AS label, recorded_at AS taken,
-                       100.0::DOUBLE * invalid_events / total_events
-                         > {SETTINGS.invalid_rate_pct} AS breached FROM quality
-                UNION ALL
-                SELECT 'HighStreamLag', '', recorded_at,
-                       coalesce(avg_lag_seconds > {SETTINGS.stream_lag_seconds}, FALSE) FROM quality
-                UNION ALL
-                SELECT 'PipelineComponentUnhealthy', component, last_heartbeat, status <> 'OK'
-                FROM heartbeat))
+    FROM (SELECT *, sum(starts) OVER (PARTITION BY alert, label ORDER BY taken, breached
+                                      ROWS UNBOUNDED PRECEDING) AS spell
+          FROM (SELECT *, CASE WHEN lag(breached) OVER along = breached
+                                AND epoch_us(taken) - epoch_us(lag(taken) OVER along)
+                                    <= {MONITORED.sample_gap_seconds * 1e6} THEN 0 ELSE 1 END AS starts
+                FROM (SELECT 'HighInvalidEventRate' AS alert, '' AS label, recorded_at AS taken,
+                             100.0::DOUBLE * invalid_events / total_events
+                               > {SETTINGS.invalid_rate_pct} AS breached FROM quality
+                      UNION ALL
+                      SELECT 'HighStreamLag', '', recorded_at,
+                             coalesce(avg_lag_seconds > {SETTINGS.stream_lag_seconds}, FALSE) FROM quality
+                      UNION ALL
+                      SELECT 'PipelineComponentStale', 'speed_layer', recorded_at,
+                             coalesce(max_lag_seconds > {STALE_SECONDS}, FALSE) FROM quality
+                      UNION ALL
+                      SELECT 'NoMeterEventsProduced', '', recorded_at, NOT EXISTS (
+                               SELECT 1 FROM heartbeat WHERE component = 'meter_producer'
+                               AND last_heartbeat <= recorded_at
+                               AND last_heartbeat > recorded_at - INTERVAL {ARRIVAL_SECONDS} SECOND)
+                      FROM quality
+                      UNION ALL
+                      SELECT 'LowRenewableContribution', 'LOW_RENEWABLE', window_end,
+                             bool_or(coalesce(renewable_pct < {SETTINGS.low_renewable_pct}, FALSE))
+                      FROM zone_window GROUP BY window_end
+                      UNION ALL
+                      SELECT 'ReconciliationDrift', '',
+                             make_timestamp({oracle.EPOCH_US} + (sim_day + 1) * {oracle.DAY_US}),
+                             coalesce(abs(drift_pct) > {SETTINGS.drift_pct}, FALSE) FROM recon
+                      UNION ALL
+                      SELECT 'PipelineComponentUnhealthy', component, last_heartbeat, status <> 'OK'
+                      FROM heartbeat)
+                WINDOW along AS (PARTITION BY alert, label ORDER BY taken, breached)))
     WHERE breached GROUP BY alert, label, spell
-    HAVING epoch_us(max(taken)) - epoch_us(min(taken)) >= CASE alert WHEN 'HighInvalidEventRate'
-             THEN 120000000 ELSE 60000000 END""",
+    HAVING epoch_us(max(taken)) - epoch_us(min(taken)) >= CASE alert
+             WHEN 'HighInvalidEventRate' THEN 120000000 WHEN 'NoMeterEventsProduced' THEN 120000000
+             WHEN 'PipelineComponentStale' THEN 30000000
+             WHEN 'ReconciliationDrift' THEN 0 WHEN 'LowRenewableContribution' THEN 0
+             ELSE 60000000 END""",
 )
 register(
     "rule_no_events",

@@ -290,9 +290,14 @@ def sustained_breach(
     series: str = "series",
     time: str = "sampled_at",
     breached: str = "breached",
+    gap_seconds: float | None = None,
 ) -> DataFrame:
     """Spells during which a condition held without a break, of at least `for_seconds`.
 
+    Without a sample nothing is known: where two samples lie more than `gap_seconds` apart, a
+    spell ends at the first and another begins at the second (None: samples are never too far).
+    A missing flag counts as not breached.
+
     One series can hold most samples, so spells are first found per series and time bucket, which
     spreads a series over many tasks. Only the first and the last run of a bucket can continue
     into a neighbour; at most two rows per bucket are then joined up along the series.
@@ -306,6 +311,9 @@ def sustained_breach(
     )
     in_bucket = Window.partitionBy("series", "bucket").orderBy("at", "breached")
     changed = F.col("breached") != F.lag("breached").over(in_bucket)
+    if gap_seconds is not None:
+        since = clock.seconds_between(F.lag("at").over(in_bucket), F.col("at"))
+        changed = changed | (since > F.lit(float(gap_seconds)))
     numbered = flagged.withColumn("starts", F.coalesce(changed, F.lit(True)))
     numbered = numbered.withColumns(
         {
@@ -322,6 +330,9 @@ def sustained_breach(
     inner = runs.where(~F.col("at_edge") & F.col("breached"))
     along = Window.partitionBy("series").orderBy("bucket", "run")
     joined = F.lag("breached").over(along) & (F.lag("bucket").over(along) != F.col("bucket"))
+    if gap_seconds is not None:
+        since = clock.seconds_between(F.lag("ended_at").over(along), F.col("started_at"))
+        joined = joined & (since <= F.lit(float(gap_seconds)))
     edges = runs.where("at_edge").withColumn("continues", F.coalesce(joined, F.lit(False)))
     spells = (
         edges.withColumn("spell", F.sum(F.when(F.col("continues"), 0).otherwise(1)).over(along))
@@ -343,10 +354,80 @@ def sustained_breach(
     )
 
 
+def arrival_rate(
+    arrivals: DataFrame, samples: DataFrame, seconds: int, series: str = "series"
+) -> DataFrame:
+    """Events per second of a series in the `seconds` up to each sample time: an interval that slides.
+
+    `arrivals` (series, at, events) tell what came in, `samples` (series, sampled_at) when somebody
+    looked; an arrival at the sample time counts, one `seconds` earlier doesn't. A series that
+    was never sampled has no rate, one that was sampled and received nothing has the rate 0.
+    Repeated samples are one; without a series or a time a row says nothing and is left out.
+
+    Time is cut into stretches of the interval's length. An interval ends in the stretch of its
+    sample and reaches into the one before, so arrivals go to their own stretch and the next. They
+    are summed per instant first, and no task gets more of a series than two stretches.
+    """
+    micros = seconds * 1_000_000
+
+    def stretch(at: Column) -> Column:
+        return at - F.pmod(at, F.lit(micros))
+
+    came = (
+        arrivals.where(F.col(series).isNotNull() & F.col("at").isNotNull())
+        .groupBy(F.col(series).alias("series"), F.unix_micros("at").alias("at"))
+        .agg(F.coalesce(F.sum("events"), F.lit(0)).cast("long").alias("events"))
+        .withColumn("stretch", F.explode(F.array(stretch(F.col("at")), stretch(F.col("at")) + micros)))
+        .withColumn("is_sample", F.lit(False))
+    )
+    looked = (
+        samples.where(F.col(series).isNotNull() & F.col("sampled_at").isNotNull())
+        .select(F.col(series).alias("series"), F.unix_micros("sampled_at").alias("at"))
+        .distinct()
+        .withColumns(
+            {
+                "events": F.lit(0).cast("long"),
+                "stretch": stretch(F.col("at")),
+                "is_sample": F.lit(True),
+            }
+        )
+    )
+    sliding = Window.partitionBy("series", "stretch").orderBy("at").rangeBetween(1 - micros, 0)
+    return (
+        came.unionByName(looked)
+        .withColumn("events", F.sum("events").over(sliding))
+        .where("is_sample")
+        .select(
+            F.col("series").alias(series),
+            F.timestamp_micros("at").alias("sampled_at"),
+            "events",
+            (F.col("events") / F.lit(float(seconds))).alias("events_per_second"),
+        )
+    )
+
+
+#: Gauge of `arrival_rate` over two minutes.
+DELIVERY_RATE, DELIVERY_SECONDS = "meter_events_delivered_rate_2m", 120
+
+
+def delivery_gauge(quality: DataFrame, as_of) -> DataFrame:
+    """The rate of arrivals at `as_of` as a gauge row (name, label, value); 0 if nothing came."""
+    arrivals = quality.select(
+        F.lit("").alias("label"), F.col("recorded_at").alias("at"), F.col("total_events").alias("events")
+    ).where(
+        (F.col("at") > seconds_before(as_of, DELIVERY_SECONDS)) & (F.col("at") <= instant(as_of))
+    )
+    now = quality.sparkSession.range(1).select(F.lit("").alias("label"), instant(as_of).alias("sampled_at"))
+    return arrival_rate(arrivals, now, DELIVERY_SECONDS, "label").select(
+        F.lit(DELIVERY_RATE).alias("name"), "label", F.col("events_per_second").alias("value")
+    )
+
+
 # Seconds a monitor rule's condition must hold, and its severity.
 MONITOR_RULES = {
     "PipelineComponentStale": (30, CRITICAL),
     "PipelineComponentUnhealthy": (60, CRITICAL),
+    "NoMeterEventsProduced": (120, CRITICAL),
     "HighInvalidEventRate": (120, WARNING),
     "HighStreamLag": (60, WARNING),
     "ReconciliationDrift": (0, WARNING),
@@ -357,11 +438,15 @@ MONITOR_RULES = {
 def monitor_alerts(samples: DataFrame, settings: Settings, bucket_seconds: int = 3600) -> DataFrame:
     """Spells of the monitor rules over gauge samples (name, label, value, sampled_at).
 
-    The samples are the rows of `pipeline_gauges` with the time they were taken.
+    The samples are the rows of `pipeline_gauges` and `delivery_gauge` with the time they were
+    taken. Samples further apart than `Settings.sample_gap_seconds` don't hold a condition. A rule
+    fires when its spell has held; `started_at` is the first sample that was breached, so silence
+    of the meters is two minutes old by then.
     """
     value = F.col("value")
     conditions = {
         "pipeline_component_up": ("PipelineComponentUnhealthy", value == 0),
+        DELIVERY_RATE: ("NoMeterEventsProduced", value == 0),
         "stream_invalid_event_rate_pct": (
             "HighInvalidEventRate",
             value > settings.invalid_rate_pct,
@@ -395,7 +480,9 @@ def monitor_alerts(samples: DataFrame, settings: Settings, bucket_seconds: int =
         .withColumn("alert", F.lit("PipelineComponentStale"))
     )
     flagged = single.unionByName(stale).withColumn("series", F.struct("alert", "label"))
-    spells = sustained_breach(flagged, 0, bucket_seconds)
+    spells = sustained_breach(
+        flagged, 0, bucket_seconds, gap_seconds=settings.sample_gap_seconds
+    )
 
     def of_rule(part: int) -> Column:
         return F.coalesce(

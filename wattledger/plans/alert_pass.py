@@ -86,14 +86,15 @@ def close_alert(spark: SparkSession, store: Store, alert_type: str, scope: str,
 
 def sample_gauges(spark: SparkSession, store: Store, as_of, settings: Settings) -> None:
     """Store the gauges of this moment; `monitor_alerts` finds spells among the samples."""
+    quality = store.recent_quality(spark, as_of, settings)
     gauges = health.pipeline_gauges(
         spark,
         store.heartbeats(spark),
         store.zone_windows(spark),
         store.alerts(spark),
-        store.recent_quality(spark, as_of, settings),
+        quality,
         store.reconciliation(spark),
         as_of,
         settings,
-    )
+    ).unionByName(alerts.delivery_gauge(quality, as_of))
     sinks.append_gauge_samples(gauges, store.gauge_samples_path, instant(as_of))

@@ -47,6 +47,8 @@ class Settings:
     pending_lookback_days: int = 3
     # Failed runs older than this are no longer looked at.
     failure_horizon_days: int = 7
+    # Gauge samples further apart say nothing about the time between them.
+    sample_gap_seconds: float = 300.0
     # Rule passes whose changes are kept.
     kept_passes: int = 1000
     # How long readers may use what a newer version has replaced.
