@@ -2,7 +2,7 @@
 
 import random
 import shutil
-from datetime import timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from wattledger.schemas import LAKE
 from wattledger.sinks import tables as sinks
 from wattledger.sources import lake as lake_source
 from wattledger.sources import tariff_files
+from wattledger.sources.files import Folder
 from wattledger.streaming import speed
 
 HEADER = "household_id,tariff_rate,billing_tier,subsidy_flag,sim_day,published_at\n"
@@ -392,3 +393,31 @@ def test_stored_gauge_samples_feed_the_monitor(spark, store, drop):
     assert values(found.where("alert = 'NoMeterEventsProduced'"), "started_at", "held_seconds") == [
         (at(100_000), 120.0)
     ]
+
+
+def test_superseded_and_abandoned_runs_are_swept(spark, filled, drop, tmp_path):
+    target = copied(filled, tmp_path)
+    tables = (target.daily_path, target.tariff_rows_path, target.tariffs_path, target.bills_path)
+
+    def runs(day):
+        return [
+            sorted(name.partition("=")[2] for name in Folder(spark, path).names(f"sim_day={day}/run_id=*"))
+            for path in tables
+        ]
+
+    ready = [(day, str(drop / f"tariff_simday{day}.csv")) for day in (0, 1)]
+    backfill_days(spark, target, ready, "first", SETTINGS, clock)
+    run_day(spark, target, 0, ready[0][1], "second", SETTINGS, later)
+    before = values(target.bills(spark), "sim_day", "household_id", "bill_amount")
+    # A run that failed half-way, and one whose commit is younger than the grace period.
+    sinks.replace_day(target.daily(spark).drop("run_id").where("sim_day = 1"), target.daily_path, "failed")
+    assert housekeeping.sweep_runs(spark, target, at(6000 + SETTINGS.grace_seconds - 1), SETTINGS) == []
+
+    assert housekeeping.sweep_runs(spark, target, at(6000 + SETTINGS.grace_seconds), SETTINGS) == [(0, "first")]
+    assert runs(0) == [["second"]] * 4
+    assert runs(1) == [["failed", "first"], *[["first"]] * 3]
+    much_later = datetime.now(timezone.utc) + timedelta(seconds=SETTINGS.abandoned_seconds + 60)
+    assert housekeeping.sweep_runs(spark, target, much_later, SETTINGS) == [(1, "failed")]
+    assert runs(1) == [["first"]] * 4
+    assert values(target.bills(spark), "sim_day", "household_id", "bill_amount") == before
+    assert housekeeping.sweep_runs(spark, Store(str(tmp_path / "none")), at(0), SETTINGS) == []

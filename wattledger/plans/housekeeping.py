@@ -38,6 +38,52 @@ def close_day(spark: SparkSession, store: Store, day: int, settings: Settings) -
         folder.drop(f"batch_id={batch}")
 
 
+def _names_of(path: str) -> tuple[int, str]:
+    """Day and run of a folder sim_day=D/run_id=R."""
+    day, run = path.rstrip("/").rsplit("/", 2)[-2:]
+    return int(day.partition("=")[2]), run.partition("=")[2]
+
+
+def sweep_runs(spark: SparkSession, store: Store, as_of, settings: Settings) -> list[tuple[int, str]]:
+    """Drop what superseded and abandoned runs wrote, day by day; returns their days and runs.
+
+    A run is superseded for a day once a later run of that day is committed; its rows stay for the
+    grace period after that commit, for readers that looked up the older run before it. A run
+    that never committed the day is abandoned when none of its files of the day was written
+    within `Settings.abandoned_seconds`; until then it may be at work. A backfill that was
+    superseded for one day keeps its others. A run is not to be repeated under the id of one
+    that was superseded; jobs draw a new id every time.
+
+    The driver sees folder names and one row per day and run of the reconciliation table.
+    """
+    log = store.read(spark, store.reconciliation_path, schemas.RECONCILIATION)
+    finished = {(r.sim_day, r.run_id) for r in log.select("sim_day", "run_id").distinct().collect()}
+    settled = F.col("reconciled_at") <= seconds_before(as_of, settings.grace_seconds)
+    newest = {
+        r.sim_day: (r.run_id, r.settled)
+        for r in store.reconciliation(spark).select("sim_day", "run_id", settled.alias("settled")).collect()
+    }
+    limit = spark.range(1).select(F.unix_millis(seconds_before(as_of, settings.abandoned_seconds))).first()[0]
+    dropped = set()
+    for table in (store.daily_path, store.tariff_rows_path, store.tariffs_path, store.bills_path, store.unbilled_path):
+        folder = Folder(spark, table)
+        for path in folder.paths("sim_day=*/run_id=*"):
+            day, run = _names_of(path)
+            current, is_settled = newest.get(day, (None, False))
+            if run == current:
+                continue
+            name = f"sim_day={day}/run_id={run}"
+            if (day, run) in finished:
+                stale = is_settled
+            else:
+                written = folder.last_written(f"{name}/*")
+                stale = written is not None and written < limit
+            if stale:
+                folder.drop(name)
+                dropped.add((day, run))
+    return sorted(dropped)
+
+
 def sweep(spark: SparkSession, store: Store, settings: Settings) -> None:
     """Drop old heartbeat versions, snapshots that no committed chain names, and old rule passes."""
     for path, prefix, kept in ((store.open_alerts_path, "pass=", 3), (store.alerts_path, "pass_id=", settings.kept_passes)):

@@ -21,7 +21,7 @@ from wattledger.operators.readings import decode_readings
 from wattledger.operators.reconciliation import pending_days
 from wattledger.plans.alert_pass import run_alert_pass, sample_gauges
 from wattledger.plans.billing_run import backfill_days, run_day
-from wattledger.plans.housekeeping import close_day, expire_live, sweep
+from wattledger.plans.housekeeping import close_day, expire_live, sweep, sweep_runs
 from wattledger.plans.report import write_report
 from wattledger.plans.store import Store
 from wattledger.session import prepare
@@ -121,6 +121,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "expire":
         expire_live(spark, store, utc_now(), settings)
         sweep(spark, store, settings)
+        sweep_runs(spark, store, utc_now(), settings)
     else:
         write_report(store.bills(spark, [args.sim_day]), args.sim_day, args.out)
 

@@ -53,6 +53,8 @@ class Settings:
     kept_passes: int = 1000
     # How long readers may use what a newer version has replaced.
     grace_seconds: int = 600
+    # A run that wrote nothing for so long and has not committed is given up.
+    abandoned_seconds: int = 7 * 86400
 
     @property
     def window_seconds(self) -> int:

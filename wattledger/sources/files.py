@@ -31,6 +31,14 @@ class Folder:
         found = self._fs.globStatus(self._hadoop.Path(self._root, pattern)) or []
         return [status.getPath().toString() for status in found]
 
+    def last_written(self, pattern: str) -> int | None:
+        """When the newest of the files was written, in milliseconds; None without files.
+
+        Folders don't count: object stores keep no time for them.
+        """
+        found = self._fs.globStatus(self._hadoop.Path(self._root, pattern)) or []
+        return max((s.getModificationTime() for s in found if s.isFile()), default=None)
+
     def text(self, name: str) -> str:
         stream = self._fs.open(self._hadoop.Path(self._root, name))
         try:
