@@ -551,3 +551,21 @@ def test_bill_views(spark):
         ("H-1", 4, 200.13),
         ("H-3", 4, 170.0),
     ]
+
+
+@pytest.mark.parametrize(
+    "seconds, want",
+    [
+        (0, (0, 0.0, "00:00", False, 300)),
+        (299.999, (0, 1.0, "23:59", False, 300)),
+        (300, (1, 0.0, "00:00", False, 300)),
+        (3.5 * 300, (3, 0.5, "12:00", True, 300)),
+        (300 + 0.25 * 300, (1, 0.25, "06:00", False, 300)),
+    ],
+)
+def test_clock_view(spark, seconds, want):
+    rows = views.view_clock(spark, at(seconds), SETTINGS).collect()
+    assert [tuple(r) for r in rows] == [want]
+    assert list(rows[0].asDict()) == [
+        "sim_day", "day_fraction", "sim_time_of_day", "daylight", "simulated_day_seconds",
+    ]
