@@ -6,11 +6,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from wattledger import schemas
-from wattledger.functions.clock import hour_of, seconds_before
+from wattledger.functions.clock import hour_of, micros_of, seconds_before
 from wattledger.plans.snapshots import sweep_snapshots
 from wattledger.plans.store import CLOSED_TOTAL, Store
 from wattledger.settings import Settings
+from wattledger.sinks import tables as sinks
 from wattledger.sinks.tables import replace_partitions, sweep_heartbeats
+from wattledger.sources import lake as lake_source
 from wattledger.sources.files import Folder
 
 
@@ -38,6 +40,62 @@ def close_day(spark: SparkSession, store: Store, day: int, settings: Settings) -
         folder.drop(f"batch_id={batch}")
 
 
+def compact_day(spark: SparkSession, store: Store, day: int) -> int | None:
+    """Fold the finished micro-batches of a lake day into one compact form of large files.
+
+    Returns the last micro-batch in the new form, None if there was nothing to fold. A micro-batch
+    is finished when a later one has its quality row; a batch that lands meanwhile, or later, stays
+    a folder of its own until the day is compacted again. What was folded stays on disk until
+    `sweep_lake`.
+    """
+    newest = store.last_batch(spark)
+    folder = Folder(spark, store.lake_path)
+    form = lake_source.newest_forms(folder, [day]).get(day)
+    folded = -1 if form is None else form.through
+    finished = [b for b in lake_source.batches_of(folder, day) if newest is not None and folded < b < newest]
+    if not finished:
+        return None
+    through = max(finished)
+    rows = store.lake(spark, [day]).where(F.col("batch_id") <= through)
+    sinks.compact_day(rows, store.lake_path, day, through)
+    return through
+
+
+def compact_lake(spark: SparkSession, store: Store, today: int, settings: Settings) -> list[int]:
+    """Compact the days before `today`, within the lookback, that have many loose micro-batches."""
+    folder = Folder(spark, store.lake_path)
+    recent = range(max(0, today - settings.pending_lookback_days), today)
+    forms = lake_source.newest_forms(folder, recent) if recent else {}
+    done = []
+    for day in recent:
+        through = forms[day].through if day in forms else -1
+        loose = [b for b in lake_source.batches_of(folder, day) if b > through]
+        if len(loose) >= settings.compact_batches and compact_day(spark, store, day) is not None:
+            done.append(day)
+    return done
+
+
+def sweep_lake(spark: SparkSession, store: Store, as_of, settings: Settings) -> None:
+    """Drop what compact forms replaced, a grace period after they were committed.
+
+    That is the micro-batches a form holds, earlier forms of its day, and attempts that were never
+    finished and reach no further. A reader that listed them before the commit has the grace
+    period to finish.
+    """
+    folder = Folder(spark, store.lake_path)
+    limit = micros_of(as_of) // 1000 - settings.lake_grace_seconds * 1000
+    for day, form in lake_source.newest_forms(folder).items():
+        committed = folder.last_written(f"{form.name}/_SUCCESS")
+        if committed is None or committed > limit:
+            continue
+        for batch in lake_source.batches_of(folder, day):
+            if batch <= form.through:
+                folder.drop(f"sim_day={day}/batch_id={batch}")
+        for other in lake_source.all_forms(folder, day):
+            if other != form and other.through <= form.through:
+                folder.drop(other.name)
+
+
 def _names_of(path: str) -> tuple[int, str]:
     """Day and run of a folder sim_day=D/run_id=R."""
     day, run = path.rstrip("/").rsplit("/", 2)[-2:]

@@ -7,6 +7,8 @@ spark-submit wattledger/plans/jobs.py alerts --store ROOT --pass-id 7
 spark-submit wattledger/plans/jobs.py sample-gauges --store ROOT
 spark-submit wattledger/plans/jobs.py report --store ROOT --sim-day 3 --out DIR
 spark-submit wattledger/plans/jobs.py close-day --store ROOT --sim-day 3
+spark-submit wattledger/plans/jobs.py compact-day --store ROOT --sim-day 3
+spark-submit wattledger/plans/jobs.py compact --store ROOT
 spark-submit wattledger/plans/jobs.py expire --store ROOT
 """
 
@@ -21,7 +23,15 @@ from wattledger.operators.readings import decode_readings
 from wattledger.operators.reconciliation import pending_days
 from wattledger.plans.alert_pass import run_alert_pass, sample_gauges
 from wattledger.plans.billing_run import backfill_days, run_day
-from wattledger.plans.housekeeping import close_day, expire_live, sweep, sweep_runs
+from wattledger.plans.housekeeping import (
+    close_day,
+    compact_day,
+    compact_lake,
+    expire_live,
+    sweep,
+    sweep_lake,
+    sweep_runs,
+)
 from wattledger.plans.report import write_report
 from wattledger.plans.store import Store
 from wattledger.session import prepare
@@ -38,8 +48,9 @@ def _pairs(items: list[str]) -> dict[str, str]:
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
-    names = ("speed", "bill-day", "backfill", "alerts", "sample-gauges", "report", "close-day", "expire")
-    for name in names:
+    billing = ("bill-day", "backfill", "report")
+    keeping = ("close-day", "compact-day", "compact", "expire")
+    for name in ("speed", *billing, "alerts", "sample-gauges", *keeping):
         job = jobs.add_parser(name)
         job.add_argument("--store", required=True)
         job.add_argument("--set", action="append", default=[], metavar="SETTING=VALUE")
@@ -49,7 +60,7 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--source-option", action="append", default=[])
             job.add_argument("--dedup-within-watermark", action="store_true")
             job.add_argument("--available-now", action="store_true")
-        if name in ("bill-day", "report", "close-day"):
+        if name in ("bill-day", "report", "close-day", "compact-day"):
             job.add_argument("--sim-day", type=int, required=True)
         if name == "bill-day":
             job.add_argument("--tariff-file", required=True)
@@ -85,10 +96,14 @@ def _speed(spark: SparkSession, store: Store, settings: Settings, args) -> None:
         spark.streams.awaitAnyTermination()
 
 
+def _today(settings: Settings) -> int:
+    """Number of the running day."""
+    return int((utc_now().timestamp() - settings.epoch_seconds) // settings.day_seconds)
+
+
 def _backfill(spark: SparkSession, store: Store, settings: Settings, folder: str) -> None:
     """Bill every pending day whose tariff file is ready."""
-    now = utc_now().timestamp()
-    today = int((now - settings.epoch_seconds) // settings.day_seconds)
+    today = _today(settings)
     recent = range(max(0, today - settings.pending_lookback_days), today)
     lake_days = store.lake(spark, recent).select("sim_day").distinct()
     # A day whose tariff file was all invalid has a reconciliation but no bills: it stays pending.
@@ -118,10 +133,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         sample_gauges(spark, store, utc_now(), settings)
     elif args.job == "close-day":
         close_day(spark, store, args.sim_day, settings)
+    elif args.job == "compact-day":
+        compact_day(spark, store, args.sim_day)
+    elif args.job == "compact":
+        compact_lake(spark, store, _today(settings), settings)
     elif args.job == "expire":
         expire_live(spark, store, utc_now(), settings)
         sweep(spark, store, settings)
         sweep_runs(spark, store, utc_now(), settings)
+        sweep_lake(spark, store, utc_now(), settings)
     else:
         write_report(store.bills(spark, [args.sim_day]), args.sim_day, args.out)
 

@@ -16,6 +16,7 @@ from wattledger.functions.clock import date_of, hour_of, instant
 from wattledger.operators import alerts, consumption, reconciliation
 from wattledger.settings import Settings
 from wattledger.sources.files import Folder, partition_folders
+from wattledger.sources.lake import scan_lake
 from wattledger.sources.tables import scan_table
 
 ALERT_CHANGE = StructType(
@@ -173,7 +174,17 @@ class Store:
         return spark.createDataFrame([], nullable)
 
     def lake(self, spark: SparkSession, days: Sequence[int] | None = None) -> DataFrame:
-        return self.read_days(spark, self.lake_path, schemas.LAKE, days)
+        """Clean readings, each micro-batch from its own folder or from its day's compact form."""
+        return scan_lake(spark, self.lake_path, days)
+
+    def last_batch(self, spark: SparkSession) -> int | None:
+        """The newest micro-batch with a quality row, which is written last.
+
+        The stream may repeat this batch after a failure, but none before it.
+        """
+        hours = self.hours(spark, self.quality_path)
+        names = Folder(spark, self.quality_path).names(f"hour={hours[-1]}/batch_id=*") if hours else []
+        return max((int(name.partition("=")[2]) for name in names), default=None)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, self.quarantine_path, schemas.QUARANTINE)

@@ -53,6 +53,10 @@ class Settings:
     kept_passes: int = 1000
     # How long readers may use what a newer version has replaced.
     grace_seconds: int = 600
+    # Folded micro-batches of the lake stay for so long, for billing runs that listed them before.
+    lake_grace_seconds: int = 86400
+    # A finished day of the lake is compacted once it has so many loose micro-batches.
+    compact_batches: int = 16
     # A run that wrote nothing for so long and has not committed is given up.
     abandoned_seconds: int = 7 * 86400
 

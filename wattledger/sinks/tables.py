@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wattledger.functions.clock import event_hour
 from wattledger.sources.files import Folder
+from wattledger.sources.lake import COMPACT
 
 # Columns of the report, in its order.
 REPORT_COLUMNS = (
@@ -191,6 +192,10 @@ def write_report_csv(bills: DataFrame, path: str) -> None:
     )
 
 
-def compact_day(rows: DataFrame, path: str) -> None:
-    """Rewrite a closed day without the micro-batch level, into a table of its own."""
-    replace_partitions(rows, path, ("sim_day",))
+def compact_day(rows: DataFrame, root: str, day: int, through: int) -> None:
+    """A day's rows of all micro-batches up to `through`, as a compact form of the day.
+
+    The form counts once it is complete; a failed attempt leaves a folder that nobody reads.
+    """
+    name = f"sim_day={day}/through={through:020d}-{uuid.uuid4().hex[:8]}"
+    rows.drop("sim_day").hint("rebalance").write.parquet(f"{root}/{COMPACT}/{name}")
