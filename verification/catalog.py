@@ -210,6 +210,11 @@ register(
     lambda s, d: runs.lake_store(s, d).lake(s).select(*READING, "event_time", "sim_day"),
     f"SELECT {READING_SQL}, event_time, sim_day FROM lake",
 )
+register(
+    "compact_lake",
+    lambda s, d: runs.compacted_store(s, d).lake(s).select(*READING, "event_time", "sim_day"),
+    f"SELECT {READING_SQL}, event_time, sim_day FROM lake",
+)
 register(
     "sink_quarantine",
     lambda s, d: runs.lake_store(s, d)

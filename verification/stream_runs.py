@@ -6,7 +6,8 @@ the same store share it.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from verification.inputs import SETTINGS, shared
 from wattledger.operators.health import latest_heartbeat
 from wattledger.operators.readings import decode_readings
 from wattledger.plans.billing_run import backfill_days, run_day
+from wattledger.plans.housekeeping import compact_lake, sweep_lake
 from wattledger.plans.snapshots import take_snapshot
 from wattledger.plans.store import Store
 from wattledger.session import work_folder
@@ -92,6 +94,18 @@ def lake_store(spark: SparkSession, sf_dir: str) -> Store:
     )
 
 
+@shared
+def compacted_store(spark: SparkSession, sf_dir: str) -> Store:
+    """A lake whose finished micro-batches were folded day by day and dropped; copies came later."""
+    store = _run_slices(
+        spark, sf_dir, [~later_copy(), later_copy()], lambda rows, store: [_lake(rows, store)]
+    )
+    settings = replace(SETTINGS, compact_batches=1, pending_lookback_days=inputs.DAYS, lake_grace_seconds=0)
+    compact_lake(spark, store, inputs.DAYS, settings)
+    sweep_lake(spark, store, datetime.now(timezone.utc) + timedelta(seconds=60), settings)
+    return store
+
+
 @shared
 def window_store(spark: SparkSession, sf_dir: str) -> Store:
     """Zone windows of the whole stream as one arrival."""
