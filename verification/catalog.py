@@ -514,6 +514,20 @@ register(
     lambda s, d: bills.point_filters(stored_bills(s, d), sim_day=12),
     f"SELECT {BILL_SQL} FROM bill WHERE sim_day = 12",
 )
+
+
+def household_bills(s, d):
+    """All bills of one household, the first by name."""
+    stored = stored_bills(s, d)
+    household = stored.agg(F.min("household_id")).first()[0]
+    return bills.point_filters(stored, household_id=household)
+
+
+register(
+    "household_bills",
+    household_bills,
+    f"SELECT {BILL_SQL} FROM bill WHERE household_id = (SELECT min(household_id) FROM bill)",
+)
 register(
     "event_lag",
     lambda s, d: readings.event_lag(
@@ -708,6 +722,36 @@ register(
     "SELECT grid_zone, CAST(sum(exact_households) AS BIGINT) AS exact_households, "
     "TRUE AS within_tolerance FROM zone_window GROUP BY 1",
 )
+
+
+def window_household_counts(s, d):
+    """Every window's approximate count of households beside its exact one.
+
+    The sketch has a relative standard deviation of a twentieth; three of them are allowed.
+    """
+    by_window = [F.window("event_time", SETTINGS.window, SETTINGS.slide).alias("w"), F.col("grid_zone")]
+    exact_count = (
+        given.clean(s, d)
+        .groupBy(*by_window)
+        .agg(F.count_distinct("household_id").alias("exact_households"))
+        .select("grid_zone", F.col("w.start").alias("window_start"), "exact_households")
+    )
+    counted = given.windows(s, d).select("grid_zone", "window_start", F.col("household_count").alias("n"))
+    error = F.abs(F.col("n") - F.col("exact_households"))
+    return counted.join(exact_count, ["grid_zone", "window_start"]).select(
+        "grid_zone",
+        "window_start",
+        "exact_households",
+        (error <= 0.15 * F.col("exact_households")).alias("within_tolerance"),
+    )
+
+
+register(
+    "window_household_count",
+    window_household_counts,
+    "SELECT grid_zone, window_start, CAST(exact_households AS BIGINT) AS exact_households, "
+    "TRUE AS within_tolerance FROM zone_window",
+)
 register("household_daily", daily, f"SELECT {DAILY_SQL} FROM daily")
 register(
     "household_microbatch_totals",
