@@ -34,6 +34,8 @@ HELD_OUT = (4, 2)
 #: Bytes of text, and documents, that are worked on at once.
 BATCH_BYTES = 4 << 20
 BATCH_DOCUMENTS = 128
+#: Padded lines of the texts whose marginals are computed at once, some 60 bytes each.
+BATCH_CELLS = 1 << 20
 
 # Classes of bytes that are counted in each line.
 UPPER, LOWER, HIGH, DIGIT, SYMBOL, PIPE, LOUD, STOP, OTHER, SPACE = range(10)
@@ -156,9 +158,7 @@ class Crf:
         logits = with_neighbours(own, per_text) @ self.weights
         ends = np.cumsum(per_text)
         out = np.empty(len(texts))
-        order = np.argsort(per_text, kind="stable")
-        for at in range(0, len(order), BATCH_DOCUMENTS):
-            part = order[at : at + BATCH_DOCUMENTS]
+        for part in grouped(per_text):
             block, mask = padded([logits[ends[i] - per_text[i] : ends[i]] for i in part])
             good, _, _ = self.marginals(block, mask)
             for row, i in enumerate(part):
@@ -173,6 +173,23 @@ class Crf:
         return 1 / (1 + np.exp(-(self.slope * self.document(texts) + self.shift)))
 
 
+def grouped(per_text: np.ndarray) -> Iterator[np.ndarray]:
+    """Numbers of the texts in groups of like line counts, bounded in texts and in padded lines.
+
+    A text of more lines than a group may hold is a group of its own.
+    """
+    order = np.argsort(per_text, kind="stable")
+    start = 0
+    for at in range(1, len(order) + 1):
+        if (
+            at == len(order)
+            or at - start == BATCH_DOCUMENTS
+            or (at - start + 1) * per_text[order[at]] > BATCH_CELLS
+        ):
+            yield order[start:at]
+            start = at
+
+
 def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     length = max(map(len, rows))
     block, mask = np.zeros((len(rows), length)), np.zeros((len(rows), length), bool)
