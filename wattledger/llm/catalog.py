@@ -30,7 +30,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_rollup.corpus_totals(table(spark, sf_dir, "documents"))
+    return token_rollup.corpus_states(table(spark, sf_dir, "documents"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,11 +37,15 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS
 FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 ROLLUP = f"""
-WITH d AS (SELECT source, lang,
+WITH d AS (SELECT source, lang, {_n(WORDS)} AS words,
+                  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) > 1 AS again,
                   unnest([{", ".join(f"{{'tokenizer': '{t}', 'n': {_n(p)}}}" for t, p in TOKENIZERS.items())}]) AS t
            FROM documents)
-SELECT source, lang, t.tokenizer AS tokenizer, count(*) AS n_docs, CAST(sum(t.n) AS BIGINT) AS n_tokens
-FROM d GROUP BY ALL"""
+SELECT 'all' AS state, source, lang, t.tokenizer AS tokenizer, count(*) AS n_docs, CAST(sum(t.n) AS BIGINT) AS n_tokens
+FROM d GROUP BY ALL
+UNION ALL
+SELECT 'changed', source, lang, t.tokenizer, count(*), CAST(sum(CASE WHEN again THEN 0 ELSE t.n END) AS BIGINT)
+FROM d WHERE words >= 5 GROUP BY ALL"""
 
 
 def _rules() -> str:

@@ -164,15 +164,29 @@ def corpus_rollup(docs: DataFrame) -> DataFrame:
     return _changed(docs)[0].totals()
 
 
+def _restored(rollup: Rollup, rows: DataFrame) -> DataFrame:
+    """Totals after two more batches, which take the revisions and deletes of _changed() back."""
+    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
+    rollup.commit("insert-2", rows.where("short").select(*KEYS, none.alias("before"), F.col("n_tokens").alias("after")))
+    revised = rows.where("copy AND NOT short")
+    rollup.commit("revise-2", revised.select(*KEYS, zero.alias("before"), F.col("n_tokens").alias("after")))
+    return rollup.totals()
+
+
 def corpus_totals(docs: DataFrame) -> DataFrame:
     """Totals over all rows of `docs` (doc_id, text, source, lang).
 
     Two batches follow those of corpus_rollup: its deleted documents are inserted again, and the
     copies left are revised back to their own counts.
     """
+    return _restored(*_changed(docs))
+
+
+def corpus_states(docs: DataFrame) -> DataFrame:
+    """The totals of both states of one rollup, with the column `state`.
+
+    'changed' is that of corpus_rollup, 'all' that of corpus_totals.
+    """
     rollup, rows = _changed(docs)
-    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
-    rollup.commit("insert-2", rows.where("short").select(*KEYS, none.alias("before"), F.col("n_tokens").alias("after")))
-    revised = rows.where("copy AND NOT short")
-    rollup.commit("revise-2", revised.select(*KEYS, zero.alias("before"), F.col("n_tokens").alias("after")))
-    return rollup.totals()
+    changed = rollup.totals().select(F.lit("changed").alias("state"), "*")
+    return changed.unionByName(_restored(rollup, rows).select(F.lit("all").alias("state"), "*"))
