@@ -150,6 +150,44 @@ def test_backfill_equals_day_by_day(spark, store, drop):
     assert store.reconciliation(spark).count() == 3
 
 
+def test_tariffs_are_looked_up_once_for_bills_and_unbilled(spark, store, drop, monkeypatch):
+    looked = []
+    unbilled = bill_ops.unbilled_households
+    monkeypatch.setattr(bill_ops, "unbilled_households", lambda rows: looked.append(rows) or unbilled(rows))
+    was = []
+    compute = bill_ops.compute_bills
+    monkeypatch.setattr(
+        bill_ops, "compute_bills", lambda rows, settings: was.append(rows.is_cached) or compute(rows, settings)
+    )
+    ready = values(tariff_files.scan_ready_days(spark, str(drop)), "sim_day", "path")
+    backfill_days(spark, store, ready, "all", SETTINGS, clock)
+    assert was == [True] and not looked[0].is_cached
+    assert values(store.bills(spark), *BILL) == expected(store.lake(spark))
+
+
+def test_day_of_a_tariff_file_is_looked_up_by_its_path(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    (folder / "parts").mkdir(parents=True)
+    (folder / "parts" / "part-0.csv").write_text(HEADER + "H-1,20,residential_low,False,9,t\n")
+    (folder / "one.csv").write_text(HEADER + "H-2,21,residential_low,False,9,t\nH-3,21,residential_low,False,,t\n")
+    ready = [(3, str(folder / "parts")), (4, str(folder / "one.csv"))]
+    rows = tariff_files.scan_tariff_files(spark, ready)
+    assert rows.columns == tariff_files.scan_tariff_csv(spark, *(p for _, p in ready)).columns
+    assert values(rows, "household_id", "sim_day") == [("H-1", "3"), ("H-2", "4"), ("H-3", "4")]
+    assert "BroadcastHashJoin" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_listed_tariff_file_finds_its_day(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    folder.mkdir()
+    (folder / "one.csv").write_text(HEADER + "H-2,21,residential_low,False,9,t\n")
+    ready = {tariff_files._bare(str(folder / "one.csv")): 4}
+    rows = tariff_files.scan_tariff_csv(spark, str(folder / "one.csv"))
+    known = dict(tariff_files._days_of_files(rows.inputFiles(), ready))
+    seen = rows.select(F.col("_metadata.file_path").alias("path")).first().path
+    assert known.get(seen) == "4"
+
+
 def test_backfill_falls_back_to_stored_tariffs(spark, store, drop):
     ready = values(tariff_files.scan_ready_days(spark, str(drop)), "sim_day", "path")
     backfill_days(spark, store, ready[:1], "first", SETTINGS, clock)

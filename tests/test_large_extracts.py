@@ -27,3 +27,11 @@ def test_a_day_of_tariffs_is_few_files(spark, folder):
     files = rows.groupBy("day").agg(F.count_distinct("_metadata.file_path").alias("n"))
     assert {n for (n,) in values(files, "n")} <= {1, 2}
     assert files.count() == stream_runs.LAST_DAY
+
+
+def test_the_extract_of_a_day_makes_no_other_day(spark, folder):
+    sf_dir = customers_in_one_file(spark, folder, 300)
+    day = inputs.tariff_extract(spark, sf_dir, 4, 4)
+    whole = inputs.tariff_extract(spark, sf_dir).where("sim_day = '4'")
+    assert day.count() == whole.count() > 0
+    assert day.exceptAll(whole).isEmpty()
