@@ -1,9 +1,14 @@
-"""A micro-batch that catches up on many old readings."""
+"""A micro-batch that catches up on many old readings: its lag, and where it is cached."""
+
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from tests.helpers import SETTINGS, at, messages, reading
 from wattledger.operators import consumption, readings
+from wattledger.plans.store import Store
+from wattledger.sinks import tables as sinks
+from wattledger.streaming import speed
 
 
 def quality(spark, seconds, processed_micros):
@@ -25,3 +30,20 @@ def test_lags_before_and_after_the_start_of_processing_are_added_exactly(spark):
     row = quality(spark, [1.25, 4.500001, 9.75], start)
     assert row.avg_lag_seconds == (3_750_000 + 499_999 - 4_750_000) / 3 / 1e6
     assert row.max_lag_seconds == 3.75
+
+
+def test_a_batch_is_cached_on_disk(spark, folder, monkeypatch):
+    before, held = set(spark.sparkContext._jsc.getPersistentRDDs()), []
+    append = sinks.append_stream_quality
+
+    def look(quality, path):
+        cached = spark.sparkContext._jsc.getPersistentRDDs()
+        held.extend(cached[i].getStorageLevel() for i in cached if i not in before)
+        append(quality, path)
+
+    monkeypatch.setattr(sinks, "append_stream_quality", look)
+    decoded = readings.decode_readings(messages(spark, [reading("e1", 1.0), reading("e2", 2.0)]))
+    speed.write_lake_batch(decoded, 0, Store(folder), SETTINGS, lambda: datetime.now(timezone.utc))
+    assert len(held) == 2
+    assert all(level.useDisk() and not level.useMemory() for level in held)
+    assert Store(folder).lake(spark).count() == 2
