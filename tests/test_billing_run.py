@@ -165,6 +165,21 @@ def test_tariffs_are_looked_up_once_for_bills_and_unbilled(spark, store, drop, m
     assert values(store.bills(spark), *BILL) == expected(store.lake(spark))
 
 
+def test_tariff_rows_are_written_without_a_shuffle(spark, store, drop, monkeypatch):
+    balanced = {}
+    write = sinks.replace_partitions
+
+    def look(rows, path, keys, balance=True):
+        balanced[path] = balance
+        write(rows, path, keys, balance)
+
+    monkeypatch.setattr(sinks, "replace_partitions", look)
+    ready = values(tariff_files.scan_ready_days(spark, str(drop)), "sim_day", "path")
+    backfill_days(spark, store, ready, "all", SETTINGS, clock)
+    assert not balanced[store.tariff_rows_path] and balanced[store.tariffs_path]
+    assert values(store.bills(spark), *BILL) == expected(store.lake(spark))
+
+
 def test_day_of_a_tariff_file_is_looked_up_by_its_path(spark, tmp_path):
     folder = tmp_path / "a b%20c"
     (folder / "parts").mkdir(parents=True)
