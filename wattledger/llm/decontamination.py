@@ -1,8 +1,10 @@
 """Benchmark decontamination: windows of test words looked up in a broadcast hash set.
 
-Every whole text is cut into words once. Its windows are hashed where the words are, and the hashes
-probe the set of benchmark windows; a hit is verified word by word on the spot, so neither texts
-nor windows are shuffled. Only hits and one row per document reach the aggregate.
+Every whole text is cut into words once. A window of ten words has one of the text's 6-word grams that
+start at every fifth word, so only these are hashed and probe the set of grams of benchmark windows.
+Where one is found, the windows around it are hashed where the words are and probe the set of windows;
+a hit is verified word by word on the spot, so neither texts nor windows are shuffled. Only hits and one
+row per document reach the aggregate.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 
-#: Distinct benchmark windows that may be broadcast; beyond it the set is joined by shuffle.
+#: Distinct benchmark windows, and distinct grams of them, that may be broadcast; beyond it the set is
+#: joined by shuffle.
 BROADCAST_WINDOWS = 2_000_000
 
 
@@ -26,19 +29,43 @@ def item_words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
-def _windows(w: Column, length: int) -> Column:
-    """Hashes of all windows of `length` words."""
-    n = F.size(w)
-    return F.when(
-        n >= length,
-        F.transform(F.sequence(F.lit(0), n - length), lambda i: F.xxhash64(F.slice(w, i + 1, length))),
-    ).otherwise(F.array().cast("array<bigint>"))
+def _stride(length: Column) -> Column:
+    """Distance of the grams of a text that are looked up for windows of `length` words."""
+    return F.greatest(F.floor(length / 2).cast("int"), F.lit(1))
+
+
+def _gram(length: Column) -> Column:
+    """Words of a gram: so many that every window holds just one that starts at a multiple of the stride."""
+    return length - _stride(length) + 1
 
 
 def _probes(w: Column, length: int) -> Column:
-    return F.transform(
-        _windows(w, length),
-        lambda h, i: F.struct(F.lit(length).alias("len"), i.alias("at"), h.alias("hash")),
+    """Hashes of the grams that decide whether windows of `length` words may occur."""
+    gram = _gram(F.lit(length))
+    last = F.size(w) - gram
+    return F.when(
+        last >= 0,
+        F.transform(
+            F.sequence(F.lit(0), last, _stride(F.lit(length))),
+            lambda i: F.struct(
+                F.lit(length).alias("len"), i.alias("at"), F.xxhash64(F.slice(w, i + 1, gram)).alias("hash")
+            ),
+        ),
+    ).otherwise(F.array().cast("array<struct<len:int,at:int,hash:bigint>>"))
+
+
+def _around(w: Column, length: Column, at: Column) -> Column:
+    """The windows of `length` words that hold the gram found at a word, with their hashes."""
+    first = F.greatest(at - _stride(length) + 1, F.lit(0))
+    last = F.least(at, F.size(w) - length)
+    return F.when(
+        first <= last,
+        F.transform(
+            F.sequence(first, last),
+            lambda i: F.struct(
+                length.alias("len"), i.alias("at"), F.xxhash64(F.slice(w, i + 1, length)).alias("hash")
+            ),
+        ),
     )
 
 
@@ -61,6 +88,14 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
+def window_grams(windows: DataFrame) -> DataFrame:
+    """len, hash of every distinct gram of the benchmark windows."""
+    w, gram = F.split("words", " "), _gram(F.col("len"))
+    starts = F.sequence(F.lit(0), F.col("len") - gram)
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i + 1, gram)))
+    return windows.select("len", F.explode(hashes).alias("hash")).distinct()
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """key, n_words, at, len, items: one row per verified hit, and one without a hit per document.
 
@@ -74,11 +109,16 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     )
     if test.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
+    grams = window_grams(test).withColumn("seen", F.lit(True))
+    grams = small(grams, "bench-grams", BROADCAST_WINDOWS)
     cut = with_computed(docs.select("key", "text"), w=item_words(F.col("text"))).drop("text")
     # The first entry stands for the document itself.
-    marks = [F.array(F.struct(F.lit(0).alias("len"), F.lit(-1).alias("at"), F.lit(None).cast("long").alias("hash")))]
-    marks += [_probes(F.col("w"), n) for n in lengths]
-    probes = cut.select("key", "w", F.inline(F.concat(*marks)))
+    mark = F.array(F.struct(F.lit(0).alias("len"), F.lit(-1).alias("at"), F.lit(None).cast("long").alias("hash")))
+    grammed = cut.select("key", "w", F.inline(F.concat(mark, *(_probes(F.col("w"), n) for n in lengths))))
+    near = grammed.join(grams, ["len", "hash"], "left").where((F.col("at") < 0) | F.col("seen"))
+    windows = F.when(F.col("at") < 0, mark).otherwise(_around(F.col("w"), F.col("len"), F.col("at")))
+    # The outer form: Spark would test the arrays of the inner one for size below the join, for every gram.
+    probes = near.select("key", "w", F.inline_outer(windows))
     found = probes.join(known, "hash", "left").where(
         (F.col("at") < 0)
         | (
