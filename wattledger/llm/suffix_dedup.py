@@ -16,12 +16,14 @@ says where it may meet its equals. Neighbouring strings with the same smallest h
    to all of them.
 4. Removed spans return to the batch of their document and are united there.
 
-Blocks and batches are bounded by bytes, and a text that repeats in a million documents is indexed
-once. Shuffles carry packed arrays rather than a row per position.
+Batches, blocks and collections are bounded by bytes, and a text that repeats in a million documents
+is indexed once. Shuffles carry packed arrays rather than a row per position: one per batch and block.
+So a batch takes texts of many Arrow batches, and a large table has fewer and larger blocks.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
@@ -42,11 +44,18 @@ KMER = 20
 PIECE_STARTS = LENGTH - KMER + 2
 #: Strings whose hashes are worked on at once.
 STRETCH = 1 << 16
-#: Lengths of pieces that share a collection.
+#: Lengths of pieces that share a collection, and the bytes after which the next one begins.
 COLLECTION_STEP = 5
-#: Text bytes that a task works on at once, and per block of hashes.
-BATCH_BYTES = 8 << 20
+COLLECTION_BYTES = 1 << 20
+#: Text bytes whose pieces are found at once, that a task holds at once, and per block of hashes.
+PIECE_BYTES = 2 << 20
+BATCH_BYTES = 16 << 20
 BLOCK_BYTES = 12 << 20
+#: Beyond so many blocks they grow instead, up to GROWN times their bytes.
+FAN_OUT = 256
+GROWN = 4
+#: Occurrences of pieces whose strings are looked up at once.
+OCCURRENCES = 1 << 16
 #: Stands for a null id: larger than any other.
 NO_ID = (1 << 63) - 1
 
@@ -116,6 +125,18 @@ def pieces(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     return least[start], doc[again], start, np.minimum(n, PIECE_STARTS)
 
 
+def batch_pieces(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """`pieces` of a batch, some texts at a time."""
+    ends = np.cumsum(lengths)
+    parts = np.flatnonzero(np.diff(ends // PIECE_BYTES, prepend=-1))
+    found = []
+    for a, b in itertools.pairwise([*parts.tolist(), len(lengths)]):
+        begin = ends[a] - lengths[a]
+        value, doc, start, n = pieces(data[begin : ends[b - 1]], lengths[a:b])
+        found.append((value, doc + a, start + begin, n))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
 class ColumnwiseIndex:
     """Suffix order of a collection of byte strings, built by rounds from their ends.
 
@@ -182,48 +203,47 @@ class ColumnwiseIndex:
 
 
 class RangeMinima:
-    """Minima of ranges: doubling tables over groups of 4, a group's worth at each end singly."""
+    """Minima of ranges: two windows of a power of two, beyond the widest also of whole groups between."""
 
-    GROUP = 4
+    LEVELS = 7
+    GROUP = 1 << (LEVELS - 1)
 
     def __init__(self, x: np.ndarray):
-        groups = -(-len(x) // self.GROUP) + 1
-        self._x = np.full(groups * self.GROUP, np.iinfo(x.dtype).max, x.dtype)
-        self._x[: len(x)] = x
-        table, width = self._x, 1
-        while width < self.GROUP:
-            table, width = np.minimum(table[::2], table[1::2]), 2 * width
-        self._tables = [table]
-        n = 1
-        while 2 * n <= groups:
-            last = self._tables[-1]
-            self._tables.append(np.minimum(last[:-n], last[n:]))
-            n *= 2
+        self._n, self._groups = len(x), len(x) // self.GROUP
+        self._near = self._doubled(x, self.LEVELS)
+        widest = self._near[-self._n :][: self._groups * self.GROUP : self.GROUP]
+        self._far = self._doubled(widest, 64)
+
+    @staticmethod
+    def _doubled(x: np.ndarray, levels: int) -> np.ndarray:
+        """Minima of 1, 2, 4 ... numbers from every place on, one table after the other."""
+        n, width = len(x), 1
+        tables = np.empty((max(1, min(levels, n.bit_length())), n), x.dtype)
+        tables[0] = x
+        for last, table in itertools.pairwise(tables):
+            np.minimum(last[: n - 2 * width + 1], last[width : n - width + 1], out=table[: n - 2 * width + 1])
+            width *= 2
+        return tables.ravel()
 
     def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Minimum over first..last, both included; no range is empty."""
-        if not len(first):
-            return np.zeros(0, self._x.dtype)
-        g, reach = self.GROUP, last - first
-        out = np.minimum(self._x[first], self._x[last])
-        for k in range(1, g):
-            step = np.minimum(reach, k)
-            np.minimum(out, self._x[first + step], out=out)
-            np.minimum(out, self._x[last - step], out=out)
-        low, high = -(-first // g), (last + 1) // g
-        middle = np.flatnonzero((reach >= 2 * g) & (high > low))
-        if len(middle):
-            low, high = low[middle], high[middle]
-            level = np.log2(high - low).astype(np.int64)
-            for k in range(int(level.max()) + 1):
-                of = np.flatnonzero(level == k)
-                if len(of):
-                    table = self._tables[k]
-                    got = np.minimum(table[low[of]], table[high[of] - (1 << k)])
-                    out[middle[of]] = np.minimum(out[middle[of]], got)
+        end = last + 1
+        level = np.minimum(_log2(end - first), self.LEVELS - 1)
+        row = level * self._n
+        out = np.minimum(self._near[row + first], self._near[row + end - (1 << level)])
+        wide = np.flatnonzero(end - first > 2 * self.GROUP)
+        low, high = -(-first[wide] // self.GROUP), end[wide] // self.GROUP
+        level = _log2(high - low)
+        row = level * self._groups
+        out[wide] = np.minimum(out[wide], np.minimum(self._far[row + low], self._far[row + high - (1 << level)]))
         return out
 
 
+def _log2(x: np.ndarray) -> np.ndarray:
+    """Rounded down; x is positive."""
+    return np.frexp(x)[1].astype(np.int64) - 1
+
+
 def smallest_holder(data: np.ndarray, lengths: np.ndarray, least: np.ndarray) -> np.ndarray:
     """Per string and start with LENGTH bytes left: the smallest `least` of any string that holds them."""
     index = ColumnwiseIndex(data, lengths)
@@ -251,14 +271,18 @@ def by_collection(data: np.ndarray, lengths: np.ndarray, least: np.ndarray) -> n
     begins = np.cumsum(lengths) - lengths
     starts = lengths - LENGTH + 1
     base = np.cumsum(starts) - starts
-    value = least_hashes(data)[begins]
-    _, group = np.unique(value, return_inverse=True)
+    _, group = np.unique(batch_pieces(data, lengths)[0], return_inverse=True)
     longest = np.zeros(group.max(initial=0) + 1, np.int64)
     np.maximum.at(longest, group, lengths)
-    kind = longest[group] // COLLECTION_STEP
+    kind = longest // COLLECTION_STEP
+    order = np.lexsort((group, kind[group]))
+    edges = np.flatnonzero(np.diff(group[order], prepend=-1))
+    filled = np.concatenate(([0], np.cumsum(lengths[order])))[edges] // COLLECTION_BYTES
+    kinds = kind[group[order[edges]]]
+    cuts = edges[(np.diff(filled, prepend=-1) != 0) | (np.diff(kinds, prepend=-1) != 0)]
     out = np.empty(int(starts.sum()), np.int64)
-    for k in np.unique(kind):
-        own = np.flatnonzero(kind == k)
+    for a, b in itertools.pairwise([*cuts.tolist(), len(order)]):
+        own = np.sort(order[a:b])
         out[_ranges(base[own], starts[own])] = smallest_holder(
             data[_ranges(begins[own], lengths[own])], lengths[own], least[own]
         )
@@ -272,14 +296,26 @@ def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame, np.ndarray, np.ndarray]]:
     """Number, rows, joined bytes and lengths of batches; numbers are unique within a stage."""
-    task, number = TaskContext.get().partitionId(), 0
+    task = TaskContext.get().partitionId()
+    for number, rows in enumerate(_by_bytes(frames)):
+        data = np.frombuffer(b"".join(rows["text"]), np.uint8)
+        yield (task << 32) | number, rows, data, rows["text"].map(len).to_numpy()
+
+
+def _by_bytes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of BATCH_BYTES of text."""
+    held, size = [], 0
     for frame in frames:
         sizes = frame["text"].map(len).to_numpy()
-        cuts = np.cumsum(sizes) // BATCH_BYTES
-        for _, rows in frame.groupby(cuts, sort=False):
-            data = np.frombuffer(b"".join(rows["text"]), np.uint8)
-            yield (task << 32) | number, rows, data, rows["text"].map(len).to_numpy()
-            number += 1
+        cuts = (size + np.cumsum(sizes)) // BATCH_BYTES
+        for cut, rows in frame.groupby(cuts, sort=False):
+            if cut and held:
+                yield pd.concat(held, ignore_index=True)
+                held, size = [], 0
+            held.append(rows)
+            size += int(sizes[cuts == cut].sum())
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def _hash_lists(blocks: int) -> Callable:
@@ -287,7 +323,7 @@ def _hash_lists(blocks: int) -> Callable:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, rows, data, lengths in _batches(frames):
-            value, doc, _, _ = pieces(data, lengths)
+            value, doc, _, _ = batch_pieces(data, lengths)
             block = (value % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
             edges = np.searchsorted(block[order], np.arange(blocks + 1))
@@ -362,7 +398,7 @@ def _marked_pieces(blocks: int) -> Callable:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, rows, data, lengths in _batches(frames):
-            value, doc, start, n = pieces(data, lengths)
+            value, doc, start, n = batch_pieces(data, lengths)
             block = (value % np.uint64(blocks)).astype(np.int64)
             edges = np.searchsorted(doc, np.arange(len(lengths) + 1))
             flag = np.zeros(len(value), bool)
@@ -430,23 +466,35 @@ def _repeated(frame: pd.DataFrame) -> pd.DataFrame:
     base = np.cumsum(starts) - starts
     out = []
     for batch, piece, doc, start, ids, marks in read:
-        n = starts[piece]
-        of = np.repeat(np.arange(len(piece)), n)
-        step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        gone = smallest[base[piece][of] + step] < ids[doc][of]
-        edge = np.ones(len(of), bool)
-        edge[1:] = of[1:] != of[:-1]
-        first = gone.copy()
-        first[1:] &= edge[1:] | ~gone[:-1]
-        last = gone.copy()
-        last[:-1] &= edge[1:] | ~gone[1:]
-        f, e = np.flatnonzero(first), np.flatnonzero(last)
-        if len(f):
-            s = start[of[f]] + step[f]
-            out.append((batch, pack(doc[of[f]].astype(np.uint32)), pack(s), pack(e - f + LENGTH), pack(ids), marks))
+        found = []
+        for a in range(0, len(piece), OCCURRENCES):
+            own = slice(a, a + OCCURRENCES)
+            of, step, size = _gone(piece[own], ids[doc[own]], smallest, base, starts)
+            found.append((doc[own][of].astype(np.uint32), start[own][of] + step, size))
+        docs, begin, size = map(np.concatenate, zip(*found, strict=True))
+        if len(docs):
+            out.append((batch, pack(docs), pack(begin), pack(size), pack(ids), marks))
     return pd.DataFrame(out, columns=["batch", "doc", "start", "size", "ids", "marks"])
 
 
+def _gone(
+    piece: np.ndarray, ids: np.ndarray, smallest: np.ndarray, base: np.ndarray, starts: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Number of the occurrence, first start in it and bytes of every run of strings of a smaller document."""
+    n = starts[piece]
+    of = np.repeat(np.arange(len(piece)), n)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    gone = smallest[base[piece][of] + step] < ids[of]
+    edge = np.ones(len(of), bool)
+    edge[1:] = of[1:] != of[:-1]
+    first = gone.copy()
+    first[1:] &= edge[1:] | ~gone[:-1]
+    last = gone.copy()
+    last[:-1] &= edge[1:] | ~gone[1:]
+    f, e = np.flatnonzero(first), np.flatnonzero(last)
+    return of[f], step[f], e - f + LENGTH
+
+
 def _united(frame: pd.DataFrame) -> pd.DataFrame:
     """Per document: the union of its spans."""
     ids, marks, begin, end = [], [], [], []
@@ -484,6 +532,15 @@ def _cut(text: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
+def block_count(total: int, block_bytes: int = BLOCK_BYTES) -> int:
+    """Blocks of `block_bytes` of text; of up to GROWN times as much where there would be over FAN_OUT.
+
+    Each batch has a row for each block, so that many small blocks cost more than the pieces in them.
+    """
+    least = max(1, math.ceil(total / block_bytes))
+    return min(least, max(FAN_OUT, math.ceil(least / GROWN)))
+
+
 def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_bytes, starts, stops, kept for every row of `docs` (doc_id, text).
 
@@ -500,7 +557,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
         F.col("doc_id").isNull().alias("nameless"),
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
+    blocks = block_count(total, block_bytes)
     long_rows = rows.where(F.octet_length("text") >= LENGTH).select("id", "mark", "text")
     lists = long_rows.mapInPandas(
         _hash_lists(blocks), "block int, batch long, counts binary, hashes binary, ids binary, marks binary"
