@@ -52,7 +52,7 @@ PIECE_BYTES = 2 << 20
 BATCH_BYTES = 16 << 20
 BLOCK_BYTES = 12 << 20
 #: Beyond so many blocks they grow instead, up to GROWN times their bytes.
-FAN_OUT = 256
+FAN_OUT = 512
 GROWN = 4
 #: Occurrences of pieces whose strings are looked up at once.
 OCCURRENCES = 1 << 16
